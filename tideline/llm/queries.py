@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, token_files
+from . import packing, substrings, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,12 +18,18 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(packing.pack(_documents(spark, sf_dir)))
 
 
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.without_repeats(_documents(spark, sf_dir), joined=True)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_documents(spark, sf_dir)).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
 }
 ORACLES: dict[str, str] = {}
