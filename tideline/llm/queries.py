@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, substrings, token_files
+from . import near_duplicates, packing, substrings, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(packing.pack(_documents(spark, sf_dir)))
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(_documents(spark, sf_dir)).select("doc_id", "class_id", "links", "copies")
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.without_repeats(_documents(spark, sf_dir), joined=True)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -29,6 +33,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
+    "op7_near_duplicates": op7_near_duplicates,
     "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
 }
