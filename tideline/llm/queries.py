@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, near_duplicates, packing, substrings, token_files
+from . import decontamination, language, near_duplicates, packing, substrings, token_files
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.leaks(_documents(spark, sf_dir), items).drop("rid")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_classes(_documents(spark, sf_dir)).select("doc_id", "class_id", "links", "copies")
 
@@ -40,6 +45,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op5_language": op5_language,
+    "op6_decontamination": op6_decontamination,
     "op7_near_duplicates": op7_near_duplicates,
     "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
