@@ -7,13 +7,33 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, near_duplicates, packing, substrings, token_files
+from . import decontamination, language, near_duplicates, packing, substrings, token_files, top_k
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k.search(vectors, F.col("vec_id") % 100 == 0)
+
+
+OP1_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.e) + 1), i -> q.e[i] * c.e[i])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(packing.pack(_documents(spark, sf_dir)))
 
@@ -43,6 +63,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_top_k": op1_top_k,
     "op3_packing": op3_packing,
     "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,
@@ -50,4 +71,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_top_k": OP1_SQL}
