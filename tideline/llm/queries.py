@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, near_duplicates, packing, substrings, token_files, top_k
+from . import decontamination, language, near_duplicates, packing, substrings, token_files, top_k, url_filter
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -34,6 +34,10 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(packing.pack(_documents(spark, sf_dir)))
 
@@ -64,6 +68,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
+    "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
     "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,

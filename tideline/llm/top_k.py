@@ -78,7 +78,7 @@ def best_of(scores: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int) -> lis
         if not repeats and len(at) > k:
             edge = np.partition(row[at], len(at) - k)[len(at) - k]
             at = at[row[at] >= edge]
-        at = at[np.lexsort((ids[at], -row[at]))]
+        at = at[np.lexsort((ids[at], ~row[at]))]
         if repeats:
             _, first = np.unique(ids[at], return_index=True)
             at = at[np.sort(first)]
@@ -124,7 +124,7 @@ def _cell(k: int):
 
 def _merged(x: tuple, y: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
     ids, scores = np.concatenate((x[0], y[0])), np.concatenate((x[1], y[1]))
-    at = np.lexsort((ids, -scores))
+    at = np.lexsort((ids, ~scores))
     _, first = np.unique(ids[at], return_index=True)
     at = at[np.sort(first)][:k]
     return ids[at], scores[at]
