@@ -3,7 +3,7 @@
 A difference cover D of period v holds, for any two positions i and j, a shift s < v with i + s and j + s both in D
 (modulo v). So two equal windows of n words share an anchor of n - v + 1 words at such a shift, and hashing anchors at
 cover positions alone (4 of 13) finds every match. Words at shared anchors are then extended to whole windows of n words,
-hashed in 128 bits, and each window but the earliest of its kind marks its words.
+hashed in 96 bits, and each window but the earliest of its kind marks its words.
 
 Two exchanges carry columns of numbers in binary blocks by hash range, one of anchors and one of windows. Before each,
 a task keeps one entry of a hash for each stretch of its rows (the earliest), so a passage that a third of all
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from . import _common as common
 
 #: Entries that a task gathers before it sends them; bounds its memory.
-STRETCH = 1 << 20
+STRETCH = 1 << 18
 #: Bytes of input for each hash range, by the optimiser's estimate.
 RANGE_BYTES = 16 << 20
 _NO_ID = -(1 << 63)
@@ -60,35 +60,34 @@ def _by_range(hashes: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
             yield int(place[part[0]]), part
 
 
-def _by_row(rows: np.ndarray, places: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """(row key, its places as unsigned 32-bit integers)."""
-    order = np.lexsort((places, rows))
-    rows, places = rows[order], places[order].astype("<u4")
-    edges = np.concatenate(([0], np.flatnonzero(np.diff(rows)) + 1, [len(rows)]))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if b > a:
-            yield int(rows[a]), places[a:b].tobytes()
+BLOCK_SCHEMA = "range int, data binary"
+_MARK = np.dtype([("rid", "<i8"), ("at", "<u4")])
 
 
-def _marks(pairs: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in pairs], pa.int64()), pa.array([v for _, v in pairs], pa.binary())], ["rid", "places"])
+def _home(rids: np.ndarray, n: int) -> np.ndarray:
+    """The range in which a row's marks are brought together."""
+    return ((common.mix(rids.astype(np.uint64)) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
-BLOCK_SCHEMA = "range int, rid long, data binary"
+def _marks(rids: np.ndarray, places: np.ndarray, n: int) -> list[tuple[int, bytes]]:
+    """(-1 - home, marks) of marked places: one row for each home, not for each row of the table."""
+    home = _home(rids, n)
+    order = np.lexsort((places, rids, home))
+    edges = np.flatnonzero(np.diff(home[order])) + 1
+    return [(-1 - int(home[part[0]]), _pack(_MARK, [rids[part], places[part]])) for part in np.split(order, edges) if len(part)]
 
 
-def _blocks(rows: list[tuple]) -> pa.RecordBatch:
-    a, b, c = zip(*rows, strict=True)
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int32()), pa.array(b, pa.int64()), pa.array(c, pa.binary())], ["range", "rid", "data"])
+def _blocks(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.binary())], ["range", "data"])
 
 
-def _sent(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+def _sent(rows: list[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
     for i in range(0, len(rows), 1024):
         yield _blocks(rows[i : i + 1024])
 
 
 _ANCHOR = np.dtype([("h", "<u4"), ("rid", "<i8"), ("at", "<u4")])
-_WINDOW = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("rid", "<i8"), ("at", "<u4")])
+_WINDOW = np.dtype([("h1", "<u8"), ("h2", "<u4"), ("doc", "<i8"), ("rid", "<i8"), ("at", "<u4")])
 
 
 def _pack(kind: np.dtype, columns: list[np.ndarray]) -> bytes:
@@ -118,15 +117,15 @@ def _anchors(n: int, period: int, count: int):
         first = np.concatenate(([True], ~same))
         again = np.concatenate(([False], same)) | np.concatenate((same, [False]))
         shared = order[again]
-        yield from _sent([(-1, rid, data) for rid, data in _by_row(rids[shared], places[shared])])
+        yield from _sent(_marks(rids[shared], places[shared], count))
         send = np.sort(order[first])
-        yield from _sent([(k, None, _pack(_ANCHOR, [hashes[send[i]] & np.uint64(0xFFFFFFFF), rids[send[i]], places[send[i]]])) for k, i in _by_range(hashes[send], count)])
+        yield from _sent([(k, _pack(_ANCHOR, [hashes[send[i]] & np.uint64(0xFFFFFFFF), rids[send[i]], places[send[i]]])) for k, i in _by_range(hashes[send], count)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
         for batch in batches:
             texts, rids = common.column_bytes(batch.column(0)), batch.column(1).to_numpy()
-            for a, b in common.slices(texts):
+            for a, b in common.slices(texts, 1 << 20):
                 joined, starts, ends, first = common.words(texts[a:b])
                 hashes = common.ngram_hashes(common.word_hashes(joined, starts, ends), size)
                 if not len(hashes):
@@ -145,12 +144,13 @@ def _anchors(n: int, period: int, count: int):
     return run
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
+def _shared_anchors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(row keys, places) of the anchors of a hash range that stand more than once."""
     hashes, rids, places = _unpack(_ANCHOR, table.column("data").to_pylist())
     order = np.argsort(hashes, kind="stable")
     same = hashes[order][1:] == hashes[order][:-1]
     found = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-    return pa.Table.from_batches([_marks(list(_by_row(rids[found], places[found])))])
+    return rids[found], places[found]
 
 
 def _windows(n: int, period: int, count: int):
@@ -159,9 +159,9 @@ def _windows(n: int, period: int, count: int):
         order = np.lexsort((at, rid, doc, h2, h1))
         again = np.concatenate(([False], (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])))
         later = order[again]
-        yield from _sent([(-1, key, data) for key, data in _by_row(rid[later], at[later])])
+        yield from _sent(_marks(rid[later], at[later], count))
         send = np.sort(order[~again])
-        yield from _sent([(k, None, _pack(_WINDOW, [c[send[i]] for c in (h1, h2, doc, rid, at)])) for k, i in _by_range(h1[send], count)])
+        yield from _sent([(k, _pack(_WINDOW, [c[send[i]] for c in (h1, h2, doc, rid, at)])) for k, i in _by_range(h1[send], count)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, total = [], 0
@@ -169,7 +169,7 @@ def _windows(n: int, period: int, count: int):
             texts, rids = common.column_bytes(batch.column(0)), batch.column(1).to_numpy()
             docs = np.array([_NO_ID if x is None else x for x in batch.column(2).to_pylist()], dtype=np.int64)
             marks = batch.column(3).to_pylist()
-            for a, b in common.slices(texts):
+            for a, b in common.slices(texts, 1 << 20):
                 joined, starts, ends, first = common.words(texts[a:b])
                 words = common.word_hashes(joined, starts, ends)
                 if len(words) < n:
@@ -178,14 +178,14 @@ def _windows(n: int, period: int, count: int):
                 edge = np.zeros(len(words) + 1, dtype=np.int32)
                 for d in range(a, b):
                     base = first[d - a]
-                    places = np.unique(np.concatenate([np.frombuffer(x, "<u4") for x in marks[d]])).astype(np.int64)
+                    places = np.frombuffer(marks[d], "<u4").astype(np.int64)
                     np.add.at(edge, base + np.maximum(places - period + 1, 0), 1)
                     np.subtract.at(edge, base + places + 1, 1)
                 doc = np.repeat(np.arange(b - a), size)
                 place = np.arange(len(words)) - first[doc]
                 at = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (place + n <= size[doc]))
-                h1, h2 = common.ngram_hashes(words, n), common.ngram_hashes(words * np.uint64(0xD6E8FEB86659FD93), n, 1)
-                held.append((h1[at], h2[at], docs[a:b][doc[at]], rids[a:b][doc[at]], place[at]))
+                h1, h2 = common.ngram_hashes(words, n), common.ngram_hashes(words * np.uint64(0xD6E8FEB86659FD93), n, 1) >> np.uint64(32)
+                held.append((h1[at], h2[at].astype(np.uint32), docs[a:b][doc[at]], rids[a:b][doc[at]], place[at]))
                 total += len(at)
                 if total >= STRETCH:
                     yield from flush(held)
@@ -196,28 +196,46 @@ def _windows(n: int, period: int, count: int):
     return run
 
 
-def _later_windows(table: pa.Table) -> pa.Table:
+def _later_windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(row keys, places) of the windows of a hash range that also start earlier."""
     h1, h2, doc, rid, at = _unpack(_WINDOW, table.column("data").to_pylist())
     order = np.lexsort((at, rid, doc, h2, h1))
     later = order[1:][(h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])]
-    return pa.Table.from_batches([_marks(list(_by_row(rid[later], at[later])))])
+    return rid[later], at[later]
 
 
-def _met(blocks: DataFrame, merge) -> DataFrame:
-    """Marks by row: those that a task found by itself, and those that merging each hash range finds."""
-    alone = blocks.filter("range < 0").select("rid", F.col("data").alias("places"))
-    merged = blocks.filter("range >= 0").groupBy("range").applyInArrow(merge, "rid long, places binary")
-    return alone.unionByName(merged).groupBy("rid").agg(F.collect_list("places").alias("places"))
+def _by_row(table: pa.Table) -> pa.Table:
+    """(rid, its marked places in order) of a home's marks."""
+    rids, places = _unpack(_MARK, table.column("data").to_pylist())
+    order = np.lexsort((places, rids))
+    rids, places = rids[order], places[order]
+    if len(rids):
+        new = np.concatenate(([True], (rids[1:] != rids[:-1]) | (places[1:] != places[:-1])))
+        rids, places = rids[new], places[new]
+    edges = np.concatenate(([0], np.flatnonzero(np.diff(rids)) + 1, [len(rids)])).tolist()
+    pairs = [(int(rids[a]), places[a:b].tobytes()) for a, b in zip(edges, edges[1:], strict=False) if b > a]
+    return pa.table([pa.array([k for k, _ in pairs], pa.int64()), pa.array([v for _, v in pairs], pa.binary())], ["rid", "places"])
+
+
+def _met(blocks: DataFrame, merge, count: int, name: str) -> DataFrame:
+    """Marks by row key: those that a task found by itself, and those that merging each hash range finds."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        if table.column("range")[0].as_py() < 0:
+            return table.select(["range", "data"])
+        return pa.Table.from_batches([_blocks(_marks(*merge(table), count))])
+
+    merged = blocks.groupBy("range").applyInArrow(meet, BLOCK_SCHEMA)
+    return common.written(merged.groupBy("range").applyInArrow(_by_row, "rid long, places binary"), name)
 
 
 def repeated_windows(docs: DataFrame, n: int = 20, period: int = 13) -> DataFrame:
-    """For rows of docs (doc_id, text, rid) that hold any: rid and the places (lists of 32-bit integers) at which a window
-    of n words starts whose words also start earlier."""
+    """For rows of docs (doc_id, text, rid) that hold any: rid and the places (32-bit integers) at which a window of n
+    words starts whose words also start earlier."""
     count = ranges(docs)
-    anchors = common.written(docs.select("text", "rid").mapInArrow(_anchors(n, period, count), BLOCK_SCHEMA), "anchors")
-    marked = docs.join(_met(anchors, _shared_anchors), "rid").select("text", "rid", "doc_id", "places")
-    found = common.written(marked.mapInArrow(_windows(n, period, count), BLOCK_SCHEMA), "windows")
-    return _met(found, _later_windows)
+    anchors = _met(docs.select("text", "rid").mapInArrow(_anchors(n, period, count), BLOCK_SCHEMA), _shared_anchors, count, "anchor-marks")
+    marked = docs.join(anchors, "rid").select("text", "rid", "doc_id", "places")
+    return _met(marked.mapInArrow(_windows(n, period, count), BLOCK_SCHEMA), _later_windows, count, "window-marks")
 
 
 def without_repeats(docs: DataFrame, n: int = 20, period: int = 13, joined: bool = False) -> DataFrame:
@@ -243,7 +261,7 @@ def without_repeats(docs: DataFrame, n: int = 20, period: int = 13, joined: bool
                         continue
                     whole, starts, ends, _ = common.words([text])
                     edge = np.zeros(len(starts) + 1, dtype=np.int32)
-                    at = np.concatenate([np.frombuffer(x, "<u4") for x in marks]).astype(np.int64)
+                    at = np.frombuffer(marks, "<u4").astype(np.int64)
                     np.add.at(edge, at, 1)
                     np.subtract.at(edge, at + n, 1)
                     keep = np.cumsum(edge[:-1]) == 0
