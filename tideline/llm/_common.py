@@ -70,7 +70,7 @@ def write_file(uri: str, chunks: Iterator[bytes]) -> int:
     system, path = file_system(uri)
     system.create_dir(os.path.dirname(path), recursive=True)
     own, size = f"{path}.{uuid.uuid4().hex}.part", 0
-    with system.open_output_stream(own) as out:
+    with system.open_output_stream(own, compression=None) as out:
         for chunk in chunks:
             out.write(chunk)
             size += len(chunk)
@@ -82,7 +82,7 @@ def write_file(uri: str, chunks: Iterator[bytes]) -> int:
 
 def read_file(uri: str) -> bytes:
     system, path = file_system(uri)
-    with system.open_input_stream(path) as f:
+    with system.open_input_stream(path, compression=None) as f:
         return f.read()
 
 
@@ -95,7 +95,7 @@ def mapped_file(uri: str) -> memoryview:
     if type(system).__name__ == "LocalFileSystem":
         with open(path, "rb") as f:
             return memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)) if os.fstat(f.fileno()).st_size else memoryview(b"")
-    with tempfile.TemporaryFile() as f, system.open_input_stream(path) as source:
+    with tempfile.TemporaryFile() as f, system.open_input_stream(path, compression=None) as source:
         while part := source.read(1 << 22):
             f.write(part)
         f.flush()

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, near_duplicates, packing, substrings, token_files, top_k, url_filter
+from . import decontamination, language, near_duplicates, packing, substrings, token_files, top_k, url_filter, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_classes(_documents(spark, sf_dir)).select("doc_id", "class_id", "links", "copies")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.archive_round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substrings.without_repeats(_documents(spark, sf_dir), joined=True)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_warc": op8_warc,
     "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
 }
