@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontamination, language, near_duplicates, packing, substrings, token_files, top_k, url_filter, warc
+from . import decontamination, language, language_model, near_duplicates, packing, substrings, token_files, top_k, url_filter, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +42,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digest(packing.pack(_documents(spark, sf_dir)))
 
 
+def op4_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.held_out_scores(_documents(spark, sf_dir))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     found = language.identify(docs.select("doc_id", "text"), language.fitted(docs))
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_url_filter": op2_url_filter,
     "op3_packing": op3_packing,
+    "op4_language_model": op4_language_model,
     "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,
     "op7_near_duplicates": op7_near_duplicates,
