@@ -35,7 +35,8 @@ from . import _common as common
 
 BLOCK = 16
 GROUP_ITEMS, GROUP_WORDS = 256, 16_000
-OVERSAMPLE = 48
+#: Directions of the corpus that its sketch finds, besides the benchmark's own.
+RANK = 64
 #: Least cosine of a candidate, least shares of an item's words in order for a leak and for a paraphrase.
 COSINE, WHOLE, PARAPHRASE, ANSWER = 0.33, 0.75, 0.55, 0.6
 #: Words that a task of the sketch adds up before it hands its sum on.
@@ -217,17 +218,18 @@ def latent_items(items: Items, words: DataFrame, df: np.ndarray, blocks: int, ki
             own[i, w] = c * weight[w]
     own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
     rng = np.random.default_rng(7)
-    rank = min(n, len(own) + OVERSAMPLE)
+    rank = min(n, RANK)
     test = own.T @ rng.standard_normal((len(own), rank)) + 0.1 * rng.standard_normal((n, rank))
     test, _ = np.linalg.qr(test)
     tasks = max(words.sparkSession.sparkContext.defaultParallelism, int(n_words // SKETCH_WORDS))
     y = sketch(words.coalesce(tasks), weight, test, kind)
-    # The benchmark's own passages weigh as much as the corpus, so that the space holds their directions.
-    scale = max(float(np.einsum("ij,ij->", test, y)), 1e-9) / max(float(np.square(own @ test).sum()), 1e-12)
-    y = y + scale * (own.T @ (own @ test))
     value, vector = np.linalg.eigh((test.T @ y + y.T @ test) / 2)
-    good = value > value.max() * 1e-10
-    basis, _, _ = np.linalg.svd(y @ (vector[:, good] / np.sqrt(value[good])), full_matrices=False)
+    good = value > max(value.max(), 1e-300) * 1e-10
+    corpus = (y @ (vector[:, good] / np.sqrt(value[good]))).T  # rows whose products are those of the corpus's factors
+    # The benchmark's own passages weigh as much as the corpus, so that the space holds their directions.
+    scale = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12) if len(corpus) else 1.0
+    _, size, basis = np.linalg.svd(np.vstack((corpus, max(scale, 1e-6) * own)), full_matrices=False)
+    basis = basis[size > size.max() * 1e-9].T
     return weight, basis @ (basis.T @ own.T)
 
 
@@ -277,17 +279,27 @@ def _search(items: Items, weight: np.ndarray, folded: np.ndarray, kind: str, cos
         for batch in batches:
             best: dict[tuple[int, int], list[tuple[float, int]]] = {}
             for ids, block, row, number in _pieces(batch, 2, kind):
-                edge = np.flatnonzero(np.diff(block, prepend=-1))
-                norm = np.add.reduceat(square[ids], edge)
-                known = np.flatnonzero(ids < n)
-                sums = np.zeros((len(row), m.shape[1]), dtype=np.float32)
-                if len(known):
-                    inner = np.flatnonzero(np.diff(block[known], prepend=-1))
-                    sums[block[known[inner]]] = np.add.reduceat(weighted[ids[known]], inner, axis=0)
+                # Each block's words, once with their number; others than the vocabulary's only lengthen its vector.
+                keys, times = np.unique(block * (n + 1) + ids, return_counts=True)
+                in_block, word = keys // (n + 1), keys % (n + 1)
+                power = square[word] * times.astype(np.float32) ** 2
+                norm = np.bincount(in_block, weights=power, minlength=len(row))
+                own = np.bincount(in_block, weights=power * (word < n), minlength=len(row))
                 pair = np.append(row[1:] == row[:-1], False)
                 after = np.append(np.arange(1, len(row)), 0)
-                both = sums + np.where(pair[:, None], sums[after], 0)
                 length = np.sqrt(norm + np.where(pair, norm[after], 0))
+                # A cosine can't exceed the vocabulary's part of the passage (items have length 1): others are done.
+                reach = np.sqrt(own) + np.where(pair, np.sqrt(own[after]), 0) >= cosine * length
+                wanted = reach | np.append(False, (reach & pair)[:-1])
+                part = np.flatnonzero(wanted[in_block] & (word < n))
+                if not len(part):
+                    continue
+                sums = np.zeros((len(row), m.shape[1]), dtype=np.float32)
+                edge = np.flatnonzero(np.diff(in_block[part], prepend=-1))
+                sums[in_block[part[edge]]] = np.add.reduceat(weighted[word[part]] * times[part, None].astype(np.float32), edge, axis=0)
+                live = np.flatnonzero(reach)
+                both = sums[live] + np.where(pair[live, None], sums[after[live]], 0)
+                row, number, length = row[live], number[live], np.maximum(length[live], 1e-12)
                 for i, j in zip(*np.nonzero(both >= cosine * length[:, None]), strict=True):
                     best.setdefault((int(row[i]), int(j)), []).append((float(both[i, j] / length[i]), int(number[i])))
             if not best:
