@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Thresholds of a source's gate as (metric, at least / at most, bound), and of the publish gate.
+# Thresholds of a source's gate as (metric, least / most, bound), and the fewest records to publish.
 SOURCE_GATE = (
-    ("parse_success_rate", "min", 0.9),
-    ("missing_price_rate", "max", 0.3),
-    ("missing_area_rate", "max", 0.3),
-    ("missing_location_rate", "max", 0.3),
-    ("duplicate_rate", "max", 0.5),
+    ("total_records", "minimum", 1),
+    ("parse_success_rate", "minimum", 0.9),
+    ("blocked_rate", "maximum", 0.5),
+    ("missing_price_rate", "maximum", 0.5),
+    ("missing_area_rate", "maximum", 0.5),
+    ("missing_location_rate", "maximum", 0.5),
+    ("duplicate_rate", "maximum", 0.5),
+    ("quarantine_rate", "maximum", 0.5),
 )
 MIN_RECORDS = 100
 
@@ -36,18 +39,20 @@ def missing_columns(df: DataFrame, wanted: tuple[str, ...]) -> list[str]:
     return [c for c in wanted if c not in df.columns]
 
 
-def gate_reasons(rules=SOURCE_GATE) -> Column:
-    """Array of messages for rules that a row breaks; a metric that is null breaks none."""
+def gate_reasons(df: DataFrame, rules=SOURCE_GATE) -> Column:
+    """Array of messages for the rules that a row breaks; a metric that is null or absent counts as 0."""
     tests = []
     for metric, kind, bound in rules:
-        bad = F.col(metric) < bound if kind == "min" else F.col(metric) > bound
-        tests.append(F.when(bad, F.concat(F.lit(f"{metric} "), F.format_string("%.4f", F.col(metric).cast("double")), F.lit(f" {'<' if kind == 'min' else '>'} {bound:g}"))))
+        value = F.coalesce(F.col(metric).cast("double"), F.lit(0.0)) if metric in df.columns else F.lit(0.0)
+        bad, side = (value < bound, "below") if kind == "minimum" else (value > bound, "above")
+        shown = F.regexp_replace(F.format_string("%.6f", value), r"\.?0+$", "")
+        tests.append(F.when(bad, F.concat(F.lit(f"{metric} "), shown, F.lit(f" {side} {kind} {bound:.6g}"))))
     return F.array_compact(F.array(*tests))
 
 
 def source_gate(quality: DataFrame, rules=SOURCE_GATE) -> DataFrame:
     """quality with gate_reasons and gate (`pass` or `fail`)."""
-    return quality.withColumn("gate_reasons", gate_reasons(rules)).withColumn("gate", F.when(F.size("gate_reasons") == 0, "pass").otherwise("fail"))
+    return quality.withColumn("gate_reasons", gate_reasons(quality, rules)).withColumn("gate", F.when(F.size("gate_reasons") == 0, "pass").otherwise("fail"))
 
 
 def publish_gate(skipped: Column, status: Column, valid: Column, records: Column, warnings: Column, least: int = MIN_RECORDS) -> Column:

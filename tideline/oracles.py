@@ -110,7 +110,7 @@ ORACLES = {
     "quality_long": f"WITH {QUALITY} SELECT crawl_date, source, 'parse_success_rate' AS metric, parse_success_rate AS value FROM quality UNION ALL SELECT crawl_date, source, 'duplicate_rate', duplicate_rate FROM quality",
     "rolling_baseline": f"""WITH {QUALITY}, b AS (SELECT crawl_date, source, duplicate_rate, avg(duplicate_rate) OVER (PARTITION BY source ORDER BY crawl_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS base FROM quality)
       SELECT crawl_date, source, round(duplicate_rate, 9) AS duplicate_rate, round(base, 9) AS duplicate_rate_baseline, round(duplicate_rate - base, 9) AS duplicate_rate_delta FROM b""",
-    "source_gate": f"WITH {QUALITY} SELECT crawl_date, source, CASE WHEN parse_success_rate < 0.9 OR missing_price_rate > 0.3 OR missing_area_rate > 0.3 OR missing_location_rate > 0.3 OR duplicate_rate > 0.5 THEN 'fail' ELSE 'pass' END AS gate FROM quality",
+    "source_gate": f"WITH {QUALITY} SELECT crawl_date, source, CASE WHEN parse_success_rate < 0.9 OR missing_price_rate > 0.5 OR missing_area_rate > 0.5 OR missing_location_rate > 0.5 OR duplicate_rate > 0.5 THEN 'fail' ELSE 'pass' END AS gate FROM quality",
     "quality_class": f"WITH {QUALITY} SELECT crawl_date, source, CASE WHEN parse_success_rate >= 0.95 AND duplicate_rate < 0.1 THEN 'excellent' WHEN parse_success_rate >= 0.9 THEN 'good' ELSE 'poor' END AS class FROM quality",
     "gold_summary": f"""WITH {QUALITY}, t AS (SELECT CAST(sum(total_records) AS BIGINT) AS total_records, CAST(sum(duplicate_record_count) AS BIGINT) AS duplicate_record_count FROM quality)
       SELECT total_records, duplicate_record_count, duplicate_record_count / total_records AS duplicate_rate, (SELECT count(DISTINCT crawl_date) FROM keyed) AS days FROM t""",
