@@ -74,8 +74,8 @@ def quality_class(parse: Column, duplicates: Column) -> Column:
     return F.when((parse >= 0.95) & (duplicates < 0.1), "excellent").when(parse >= 0.9, "good").otherwise("poor")
 
 
-def quality_class_to_baseline(parse: Column, base: Column, rates: dict[Column, Column]) -> Column:
+def quality_class_to_baseline(parse: Column, base: Column, rates: list[tuple[Column, Column]]) -> Column:
     """Class of a day by its rolling baseline: floors under the parse rate, and rates that may not rise by .05 or .10."""
-    rise = lambda by: [F.coalesce(r <= b + by, F.lit(True)) for r, b in rates.items()]
+    rise = lambda by: [F.coalesce(r <= b + by, F.lit(True)) for r, b in rates]
     every = lambda tests: F.forall(F.array(*tests), lambda x: x) if tests else F.lit(True)
     return F.when((parse >= F.greatest(F.lit(0.95), base - 0.02)) & every(rise(0.05)), "excellent").when((parse >= F.greatest(F.lit(0.90), base - 0.05)) & every(rise(0.10)), "good").otherwise("poor")
