@@ -135,8 +135,12 @@ def train(labelled: DataFrame, most: int = SAMPLE) -> Model:
     model = Model(math.log(share / (1 - share)), [], {r.suffix: (r.b + SMOOTH * share) / (r.n + SMOOTH) for r in rows}, share)
     names = [*columns, "suffix"]
     data = sample.withColumn("suffix", model.suffix_score(F.col("suffix")))
-    cuts = data.agg(*(F.percentile(F.col(c), F.array(*(F.lit(i / BINS) for i in range(1, BINS)))).alias(c) for c in names)).first()
-    edges = {c: sorted(set(cuts[c])) for c in names}
+    cuts = data.agg(*(F.percentile(F.col(c), F.array(*(F.lit(i / BINS) for i in range(BINS + 1)))).alias(c) for c in names)).first()
+    # Edges lie halfway between neighbouring quantiles: a value that training didn't show goes with the nearer side.
+    edges = {}
+    for c in names:
+        at = sorted(set(cuts[c]))
+        edges[c] = [(a + b) / 2 for a, b in zip(at, at[1:], strict=False)]
     # A row becomes its bins; rows with equal bins and label are one row with a count.
     bins = {c: sum((F.when(F.col(c) > e, 1).otherwise(0) for e in edges[c]), F.lit(0)) for c in names}
     data = common.written(data.select("y", *(b.alias(c) for c, b in bins.items())).groupBy("y", *names).agg(F.count("*").cast("double").alias("w")).coalesce(1), "url-bins")
