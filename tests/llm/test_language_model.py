@@ -60,7 +60,7 @@ def brute(rows):
 @pytest.mark.parametrize("parts", [None, 23])
 def test_against_brute_force(spark, parts, monkeypatch):
     if parts:
-        monkeypatch.setattr(lm, "ranges", lambda df: parts)
+        monkeypatch.setattr(lm, "ranges", lambda df, size: parts)
         monkeypatch.setattr(lm, "STRETCH", 200)
     rng = random.Random(5)
     words = [f"w{int(rng.expovariate(0.05))}" for _ in range(400)] + ["É", "​"]

@@ -33,7 +33,9 @@ from .substrings import ranges
 
 END = np.uint64(0x5DEECE66D1CE4E5B)
 DISCOUNT = 0.75
-STRETCH = 1 << 19
+STRETCH = 1 << 18
+#: Bytes of input for each share and hash range; bounds the arrays of a task that merges or builds one.
+SHARE_BYTES = 8 << 20
 CODES = 256
 
 
@@ -84,10 +86,10 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[edge], np.add.reduceat(counts, edge) if len(keys) else counts
 
 
-def _batches(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, int, list[bytes]]]:
+def _batches(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, int, int, list[bytes]]]:
     for batch in batches:
         texts = common.column_bytes(batch.column(column))
-        for a, b in common.slices(texts, 1 << 20):
+        for a, b in common.slices(texts, most):
             yield batch, a, b, texts[a:b]
 
 
@@ -154,7 +156,7 @@ class Vocabulary:
 
 def count_tokens(docs: DataFrame, folder: str) -> Vocabulary:
     """Counts all tokens of the texts (one column `text`) into level-one files."""
-    n = ranges(docs)
+    n = ranges(docs, SHARE_BYTES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def give(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -315,7 +317,7 @@ def train(docs: DataFrame) -> Model:
     spark = docs.sparkSession
     folder = common.new_folder(spark, "language-model")
     vocabulary = count_tokens(docs, folder)
-    n = ranges(docs)
+    n = ranges(docs, SHARE_BYTES)
     step = max(1, -(-vocabulary.total // n))
     wide = vocabulary.size >= 1 << 32
     kind = "<u8" if wide else "<u4"
@@ -401,7 +403,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch, a, b, texts in _batches(batches, 1):
+        for batch, a, b, texts in _batches(batches, 1, 1 << 21):
             context, before, total, word, count, sizes = _pairs(m.vocabulary, texts)
             starts = np.cumsum(sizes) - sizes
             base = np.add.reduceat(np.log10(m.vocabulary.base(count)), starts)

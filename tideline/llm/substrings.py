@@ -44,11 +44,11 @@ def difference_cover(period: int) -> tuple[int, ...]:
     raise ValueError(period)
 
 
-def ranges(df: DataFrame) -> int:
+def ranges(df: DataFrame, size: int = RANGE_BYTES) -> int:
     """Number of hash ranges: it follows the input, so that one range stays small at any size. Where the optimiser knows
     no size (rows from the driver), the number of shuffle partitions."""
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return max(common.partitions(df.sparkSession), estimate // RANGE_BYTES if estimate < 1 << 58 else 0)
+    return max(common.partitions(df.sparkSession), estimate // size if estimate < 1 << 58 else 0)
 
 
 def _by_range(hashes: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
