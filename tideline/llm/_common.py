@@ -49,12 +49,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -> None:
+    """From now on the session hands texts to Python in small batches: copies of a batch, not of ten thousand texts, are
+    what a worker and its executor hold. Smaller settings of the session stay."""
+    for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows), ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
+        now = spark.conf.get(key, None)
+        if now is None or not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def row_keyed(df: DataFrame, *columns: str) -> DataFrame:
     """The named columns and a key `rid` of each row. Rows that repeat an id or have none stay apart by it.
 
     The key follows the input's partitions, so the input must be a table or files (each read gives the same rows in the
     same partitions), which holds for every stage of the pipeline.
     """
+    bounded_batches(df.sparkSession)
     return df.select(*(F.col(c) for c in columns), F.monotonically_increasing_id().alias("rid"))
 
 

@@ -80,6 +80,7 @@ def vectors(table: np.ndarray, idf: np.ndarray) -> np.ndarray:
 def fit(labelled: DataFrame, most: int = SAMPLE, centroids: int = CENTROIDS, rounds: int = 8) -> Model:
     """Fits on labelled (text, lang, and `key` by whose hash the sample is taken). Rows without text, letter or lang are
     left out. Texts are vectorised on the executors; the driver holds at most `most` rows of counts, sparse."""
+    common.bounded_batches(labelled.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,6 +142,7 @@ def _clusters(rows: list[tuple[np.ndarray, np.ndarray]], k: int, rounds: int) ->
 
 def identify(df: DataFrame, model: Model, floor: float = FLOOR) -> DataFrame:
     """df with columns lang_pred, score (0 to 1: cosine of the nearest centroid) and rejected; df has a column text."""
+    common.bounded_batches(df.sparkSession)
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(model)
     names = [f.name for f in df.schema.fields]

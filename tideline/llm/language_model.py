@@ -314,6 +314,7 @@ def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame) -> Model:
     """Counts the texts of docs (one column `text`) and builds both levels in the shared folder."""
+    common.bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     folder = common.new_folder(spark, "language-model")
     vocabulary = count_tokens(docs, folder)
@@ -399,6 +400,7 @@ def train(docs: DataFrame) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """Of each row of docs (doc_id, text): doc_id, n_tokens, n_known, base_score and score (log10 probabilities)."""
+    common.bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

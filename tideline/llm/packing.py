@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import _common as common
 from . import tokens
 
 SCHEMA = "doc_id long, start long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -136,6 +137,7 @@ def pack(docs: DataFrame, size: int = 2048, end_id: int = 1, path: str | None =
     One row for each piece: doc_id, start (ids of its document before it), doc_tokens, sequence_id, offset, ids (unsigned
     32-bit little-endian). Every id lies in one piece, and a sequence's pieces follow each other without gaps.
     """
+    common.bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

@@ -142,6 +142,7 @@ def write_ids(docs: DataFrame, folder: str, end_id: int = 0, path: str | None =
     Returns the list of segments: file_no, segment, file, at, n_bytes, n_docs, n_ids. A null text counts as empty. An
     empty table gives an empty list. Running it writes; so write its result to a table before use.
     """
+    common.bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

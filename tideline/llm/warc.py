@@ -177,6 +177,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, version: int =
     Returns the list of files (file, n). Running it writes; so write its result to a table before use. Rows meet their
     payload's first page by a join on page_id; only rows that repeat a payload are on its other side.
     """
+    common.bounded_batches(pages.sparkSession)
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = base.select("page_id", "url", "html", F.monotonically_increasing_id().alias("rid"))
