@@ -26,7 +26,7 @@ def same(rows):
     return sorted((tuple(norm(v) for v in r) for r in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(own.QUERIES))
+@pytest.mark.parametrize("name", sorted(oracles.ORACLES))
 def test_query(spark, db, name):
     df = own.QUERIES[name](spark, SF)
     cursor = db.execute(oracles.ORACLES[name])

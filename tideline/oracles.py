@@ -143,6 +143,14 @@ ORACLES = {
     "clean_text": r"SELECT doc_id, md5(trim(regexp_replace(regexp_replace(text, '[·•]', ' ', 'g'), '\s+', ' ', 'g'))) AS cleaned FROM documents",
     "slug_key": r"SELECT p_partkey, regexp_replace(regexp_replace(lower(p_name), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') AS slug, left(sha256(lower(trim(p_name)) || '|NONE'), 16) AS key FROM part",
     "url_norm": r"SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[^?#]+')), '/+$', '') AS url FROM pages",
+    "features_text": """SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 60 BETWEEN 1 AND 50 THEN CAST(o_orderkey % 60 AS INTEGER) END AS floor_count,
+      CASE WHEN o_orderkey % 7 <> 0 THEN CAST(o_orderkey % 4 + 1.5 AS DOUBLE) END AS frontage_width, CAST(o_orderkey % 4 + 1 AS INTEGER) AS bedroom_count,
+      CASE WHEN o_orderkey % 2 = 0 THEN 'dong_nam' ELSE 'tay' END AS direction, o_orderkey % 3 = 1 AS is_price_negotiable, CASE WHEN o_orderkey % 7 <> 0 AND o_orderkey % 5 = 0 THEN 'car_can_enter' END AS car_access_type FROM orders""",
+    "json_ads": "SELECT CAST(n_nationkey AS VARCHAR) AS listing_id, 'https://www.nhatot.com/mua-ban-nha-dat-dong-da-ha-noi/' || CAST(n_nationkey + 100 AS VARCHAR) || '.htm' AS listing_url, n_name AS listing_card_title, CAST(n_nationkey * 1000 AS BIGINT) AS price_vnd FROM nation",
+    "duplicate_summary": f"WITH {FLAGGED} SELECT crawl_date, count(*) AS rows, count(*) FILTER (WHERE is_duplicate_in_snapshot) AS duplicate_rows, count(DISTINCT CASE WHEN is_duplicate_in_snapshot THEN dedup_key END) AS duplicate_groups FROM flagged GROUP BY crawl_date",
+    "removed_per_source": f"""WITH {DAILY}, days AS (SELECT source, crawl_date, lead(crawl_date) OVER (PARTITION BY source ORDER BY crawl_date) AS next_date FROM (SELECT DISTINCT source, crawl_date FROM daily))
+      SELECT d.dedup_key, y.next_date AS snapshot_date, d.crawl_date AS last_seen_before_removed FROM daily d JOIN days y ON d.crawl_date = y.crawl_date AND d.source = y.source
+      WHERE y.next_date IS NOT NULL AND NOT EXISTS (SELECT 1 FROM daily n WHERE n.dedup_key = d.dedup_key AND n.crawl_date > d.crawl_date AND n.crawl_date <= y.next_date)""",
     "union_by_name": "SELECT CAST(r_regionkey AS BIGINT) AS id, r_name AS name, CAST(NULL AS BIGINT) AS region FROM region UNION ALL SELECT CAST(n_nationkey AS BIGINT), n_name, CAST(n_regionkey AS BIGINT) FROM nation",
     "large_medians": "SELECT l_returnflag, quantile_disc(l_extendedprice, 0.5) AS median_price, count(*) AS n FROM lineitem GROUP BY l_returnflag",
 }

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import price, text
+from .functions import features, price, text
 from .functions.keys import identity
 from .operators import checks, marts
 from .operators import daily as d
 from .plans import gold, warehouse
 from .schema import typed
+from .sources import web
 from .sources.adapters import listings_from_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +107,32 @@ def large_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").agg(marts.median("l_extendedprice").alias("median_price"), F.count("*").alias("n"))
 
 
+def features_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of texts that are made of an order's key: numbers and words in fixed places."""
+    key = F.col("o_orderkey")
+    floors, rooms = (key % 60).cast("string"), (key % 4 + 1).cast("string")
+    words = F.concat(F.lit("Nhà "), floors, F.lit(" tầng, mặt tiền "), rooms, F.lit(",5 m, "), rooms, F.lit(" phòng ngủ, hướng "), F.when(key % 2 == 0, "Đông Nam").otherwise("tây"), F.when(key % 3 == 0, ", không có thương lượng").when(key % 3 == 1, ", thương lượng").otherwise(""), F.when(key % 5 == 0, ", ô tô vào").otherwise(""))
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", words.alias("title_raw"), F.when(key % 7 == 0, "apartment").otherwise("house").alias("property_type_group"))
+    out = features.with_features(df, ("title_raw",))
+    return out.select("o_orderkey", "floor_count", "frontage_width", "bedroom_count", "direction", "is_price_negotiable", "car_access_type")
+
+
+def json_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    ad = F.struct(F.col("n_nationkey").alias("ad_id"), (F.col("n_nationkey") + 100).alias("list_id"), F.col("n_name").alias("subject"), (F.col("n_nationkey") * 1000).alias("price"), F.lit("Ha Noi").alias("region_name"), F.lit("Đống Đa").alias("area_name"))
+    nobody = F.struct(F.lit(None).cast(nation.schema["n_nationkey"].dataType).alias("ad_id"), F.lit(None).cast("bigint").alias("list_id"), F.lit("none").alias("subject"), F.lit(None).cast("bigint").alias("price"), F.lit("x").alias("region_name"), F.lit("y").alias("area_name"))
+    payload = F.to_json(F.struct(F.array(ad, nobody).alias("ads")))
+    return web.ads(nation.select(payload.alias("payload"))).select("listing_id", "listing_url", "listing_card_title", "price_vnd")
+
+
+def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", web.html_text(F.col("html")).alias("text"))
+
+
+def removed_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return d.removed(_gold("daily")(spark, sf_dir), per_source=True).select("dedup_key", "snapshot_date", "last_seen_before_removed")
+
+
 QUERIES: dict[str, Query] = {
     "dedup_key": _gold("flagged", "event_id", "dedup_key", "dedup_method"),
     "duplicate_flags": _gold("flagged", "event_id", "duplicate_group_size", "is_duplicate_in_snapshot"),
@@ -141,6 +168,11 @@ QUERIES: dict[str, Query] = {
     "clean_text": clean_text,
     "slug_key": slug_key,
     "url_norm": url_norm,
+    "features_text": features_text,
+    "json_ads": json_ads,
+    "html_text": html_text,
+    "duplicate_summary": _on("flagged", marts.duplicate_summary),
+    "removed_per_source": removed_per_source,
     "union_by_name": union_by_name,
     "large_medians": large_medians,
 }
