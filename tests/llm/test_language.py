@@ -14,7 +14,7 @@ def test_accuracy_and_cases(spark):
         lang = rng.choice(sorted(SYLLABLES))
         words = ["".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(rng.choice([1, 8, 90]))]
         rows.append((i, rng.choice([" ", "!! "]).join(words).upper() if i % 5 == 0 else " ".join(words), lang if i % 9 else None, lang))
-    rows += [(1000, None, "xx", None), (1001, "", "xx", None), (1002, "123 !?", "yy", None), (None, "kalomi", "xx", "xx"), (1003, "漢字仮名", None, None)]
+    rows += [(1000, None, "xx", None), (1001, "", "xx", None), (1002, "123 ² Ⅷ !?", "yy", None), (None, "kalomi", "xx", "xx"), (1003, "漢字仮名", None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string").drop("score")
     truth = {(r[0], r[1]): r[3] for r in rows}
     model = li.fitted(df)

@@ -15,7 +15,6 @@ others. Other columns stay untouched.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,7 +40,6 @@ for _b in range(256):
         _FOLD[_b] = _b + 32
     elif 0x61 <= _b <= 0x7A or _b >= 0x80:
         _FOLD[_b] = _b
-_MARKS = re.compile(r"[^\W\d_]")
 
 
 @dataclass
@@ -153,7 +151,7 @@ def identify(df: DataFrame, model: Model, floor: float = FLOOR) -> DataFrame:
             for a in range(0, batch.num_rows, 128):
                 part = batch.slice(a, 128)
                 texts = part.column(names.index("text")).to_pylist()
-                some = [i for i, x in enumerate(texts) if x and m.languages and _MARKS.search(x)]
+                some = [i for i, x in enumerate(texts) if x and m.languages and any(map(str.isalpha, x))]
                 pred, score = [UNDETERMINED] * len(texts), [0.0] * len(texts)
                 if some:
                     cosine = vectors(np.stack([counts(texts[i]) for i in some]), m.idf) @ m.centroids.T
