@@ -93,28 +93,37 @@ def _batches(batches: Iterator[pa.RecordBatch], column: int, most: int = 1 << 20
             yield batch, a, b, texts[a:b]
 
 
+def words_file(folder: str, k: int) -> str:
+    return f"{folder}/words-{k:08d}"
+
+
+def pairs_file(folder: str, k: int) -> str:
+    return f"{folder}/pairs-{k:08d}"
+
+
 @dataclass
 class Vocabulary:
-    """Level one: the files by hash range (path or None if empty), ids before each, tokens before each."""
+    """Level one: the folder of its files, ids before each hash range and in all, tokens before each and in all. A range
+    without ids has no file. These are two numbers for each file, whatever the files hold."""
 
-    files: list[str | None]
-    ids: list[int]
-    tokens: list[int]
+    folder: str
+    ids: np.ndarray
+    tokens: np.ndarray
 
     def __post_init__(self) -> None:
-        self.size, self.total = self.ids[-1], self.tokens[-1]
+        self.size, self.total = int(self.ids[-1]), int(self.tokens[-1])
         self._open: dict[int, tuple[np.ndarray, EliasFano]] = {}
 
     def __getstate__(self):
-        return self.files, self.ids, self.tokens
+        return self.folder, self.ids, self.tokens
 
     def __setstate__(self, state) -> None:
-        self.files, self.ids, self.tokens = state
+        self.folder, self.ids, self.tokens = state
         self.__post_init__()
 
     def _file(self, k: int) -> tuple[np.ndarray, EliasFano]:
         if k not in self._open:
-            data = common.mapped_file(self.files[k])
+            data = common.mapped_file(words_file(self.folder, k))
             running = EliasFano(data)
             self._open[k] = np.frombuffer(data, "<u8", running.n - 1, running.end), running
         return self._open[k]
@@ -122,13 +131,13 @@ class Vocabulary:
     def _by_file(self, place: np.ndarray) -> Iterator[tuple[int, int, int]]:
         edges = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)]
         for a, b in zip(edges, edges[1:], strict=False):
-            if b > a and self.files[int(place[a])] is not None:
+            if b > a and self.ids[int(place[a])] < self.ids[int(place[a]) + 1]:
                 yield int(place[a]), a, b
 
     def look(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(id or -1, tokens before it, its count) of hashes in rising order."""
         ids, before, count = np.full(len(hashes), -1, dtype=np.int64), np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=np.int64)
-        for k, a, b in self._by_file(_range_of(hashes, len(self.files))):
+        for k, a, b in self._by_file(_range_of(hashes, len(self.ids) - 1)):
             own, running = self._file(k)
             at = np.searchsorted(own, hashes[a:b])
             hit = np.flatnonzero(own[np.minimum(at, len(own) - 1)] == hashes[a:b])
@@ -177,19 +186,14 @@ def count_tokens(docs: DataFrame, folder: str) -> Vocabulary:
         place = table.column("place")[0].as_py()
         keys, counts = _summed(*_gathered(table, ["<u8", "<u8"]))
         running = np.concatenate(([0], np.cumsum(counts))).astype(np.uint64)
-        file = f"{folder}/words-{place:07d}"
-        common.write_file(file, iter((encode(running), keys.astype("<u8").tobytes())))
-        return pa.table({"place": pa.array([place], pa.int64()), "file": [file], "n": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(running[-1])], pa.int64())})
+        common.write_file(words_file(folder, place), iter((encode(running), keys.astype("<u8").tobytes())))
+        return pa.table({"place": pa.array([place], pa.int64()), "n": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(running[-1])], pa.int64())})
 
-    made = docs.select("text").mapInArrow(run, "place long, data binary").groupBy("place").applyInArrow(merge, "place long, file string, n long, tokens long")
-    rows = {r.place: r for r in common.written(made, "word-files").collect()}
-    files, ids, before = [], [0], [0]
-    for k in range(n):
-        r = rows.get(k)
-        files.append(r.file if r else None)
-        ids.append(ids[-1] + (r.n if r else 0))
-        before.append(before[-1] + (r.tokens if r else 0))
-    return Vocabulary(files, ids, before)
+    made = docs.select("text").mapInArrow(run, "place long, data binary").groupBy("place").applyInArrow(merge, "place long, n long, tokens long")
+    ids, before = np.zeros(n + 1, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
+    for r in common.written(made, "word-files").toLocalIterator():
+        ids[r.place + 1], before[r.place + 1] = r.n, r.tokens
+    return Vocabulary(folder, np.cumsum(ids), np.cumsum(before))
 
 
 def _share(before: np.ndarray, count: np.ndarray, word: np.ndarray, size: int, step: int) -> np.ndarray:
@@ -214,10 +218,10 @@ def _pairs(vocabulary: Vocabulary, texts: list[bytes]):
 
 @dataclass
 class Model:
-    """Both levels: the vocabulary, the files of shares, tokens of a share."""
+    """Both levels: the vocabulary, which shares have a file, tokens of a share."""
 
     vocabulary: Vocabulary
-    shares: dict[int, str]
+    shares: np.ndarray
     step: int
 
     def __post_init__(self) -> None:
@@ -232,7 +236,7 @@ class Model:
 
     def share(self, k: int) -> Share | None:
         if k not in self._open:
-            self._open[k] = Share(common.mapped_file(self.shares[k])) if k in self.shares else None
+            self._open[k] = Share(common.mapped_file(pairs_file(self.vocabulary.folder, k))) if self.shares[k] else None
         return self._open[k]
 
     def log_probabilities(self, context: np.ndarray, before: np.ndarray, total: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -362,7 +366,7 @@ def train(docs: DataFrame) -> Model:
     pairs = common.written(pairs, "pairs")
     # Contexts at the shares' edges may have successors in several: their numbers are added up here, two for each share.
     edges: dict[int, int] = {}
-    for r in pairs.select("first", "n_first", "last", "n_last").collect():
+    for r in pairs.select("first", "n_first", "last", "n_last").toLocalIterator():
         edges[r.first] = edges.get(r.first, 0) + r.n_first
         if r.last != r.first:
             edges[r.last] = edges.get(r.last, 0) + r.n_last
@@ -389,13 +393,15 @@ def train(docs: DataFrame) -> Model:
                 weights, context_codes = quantised(np.log10(np.maximum(weight, 1e-30)))
                 pointers = np.concatenate(([0], np.cumsum(sizes)))
                 successors = at.astype(np.uint64) * np.uint64(v.size) + word.astype(np.uint64)
-                file = f"{folder}/pairs-{row['place']:07d}"
                 head = np.array([low, high - low, row["place"], v.size], dtype="<i8")
-                common.write_file(file, iter((head.tobytes(), book.astype("<f8").tobytes(), weights.astype("<f8").tobytes(), encode(pointers), encode(successors), codes.tobytes(), context_codes.tobytes())))
-                yield pa.RecordBatch.from_arrays([pa.array([row["place"]], pa.int64()), pa.array([file])], ["place", "file"])
-
-    files = common.written(pairs.select("place", "data").repartition(n, "place").mapInArrow(build, "place long, file string"), "pair-files")
-    return Model(vocabulary, {r.place: r.file for r in files.collect()}, step)
+                common.write_file(pairs_file(folder, row["place"]), iter((head.tobytes(), book.astype("<f8").tobytes(), weights.astype("<f8").tobytes(), encode(pointers), encode(successors), codes.tobytes(), context_codes.tobytes())))
+                yield pa.RecordBatch.from_arrays([pa.array([row["place"]], pa.int64())], ["place"])
+
+    built = common.written(pairs.select("place", "data").repartition(n, "place").mapInArrow(build, "place long"), "pair-files")
+    shares = np.zeros(n + 1, dtype=bool)
+    for r in built.toLocalIterator():
+        shares[r.place] = True
+    return Model(vocabulary, shares, step)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
