@@ -75,6 +75,34 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(_documents(spark, sf_dir)).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+h AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p),
+b AS (
+  SELECT *, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111',
+    CAST(4 * (strpos('0123456789abcdef', substr(h, CAST(i AS INTEGER), 1)) - 1) + 1 AS INTEGER), 4)), '') AS bits FROM h
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bits, CAST(5 * j + 1 AS INTEGER), 1) AS INTEGER)
+    + 8 * CAST(substr(bits, CAST(5 * j + 2 AS INTEGER), 1) AS INTEGER) + 4 * CAST(substr(bits, CAST(5 * j + 3 AS INTEGER), 1) AS INTEGER)
+    + 2 * CAST(substr(bits, CAST(5 * j + 4 AS INTEGER), 1) AS INTEGER) + CAST(substr(bits, CAST(5 * j + 5 AS INTEGER), 1) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN first <> page_id THEN first END AS refers_to
+FROM b
+"""
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d),
+k AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(ws[s:s + 19], ' ') ORDER BY doc_id, s) AS n FROM w),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM k WHERE n > 1),
+e AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS p, unnest(ws) AS word FROM d),
+r AS (
+  SELECT e.doc_id, count(*) AS n_left, string_agg(e.word, ' ' ORDER BY e.p) AS kept FROM e LEFT JOIN c ON e.doc_id = c.doc_id AND e.p = c.p WHERE c.p IS NULL GROUP BY e.doc_id
+)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, CAST(len(d.ws) - coalesce(r.n_left, 0) AS BIGINT) AS n_removed, sha256(coalesce(r.kept, '')) AS kept_sha256
+FROM d LEFT JOIN r ON d.doc_id = r.doc_id
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_top_k": op1_top_k,
     "op2_url_filter": op2_url_filter,
@@ -87,4 +115,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substrings": op9_substrings,
     "op10_token_files": op10_token_files,
 }
-ORACLES: dict[str, str] = {"op1_top_k": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_top_k": OP1_SQL, "op8_warc": OP8_SQL, "op9_substrings": OP9_SQL}
