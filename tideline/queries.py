@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _gold(table: str, *columns: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = gold.tables(listings_from_events(spark, sf_dir), "event_id")[table]
+        df = gold.Run(listings_from_events(spark, sf_dir), "event_id")[table]
         return df.select(*columns) if columns else df
 
     return run
@@ -38,7 +38,7 @@ def _on(table: str, make: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _star(make: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        t = gold.tables(listings_from_events(spark, sf_dir), "event_id")
+        t = gold.Run(listings_from_events(spark, sf_dir), "event_id")
         return make(t["snapshots"], t["data_quality"])
 
     return run
