@@ -81,3 +81,25 @@ def test_sketch_is_exact(spark):
     assert np.allclose(dc.sketch(words, weight, test, "<u2"), a.T @ (a @ test), rtol=1e-3, atol=1e-2)
     found, blocks = dc.frequencies(words, n, "<u2")
     assert blocks == sum(-(-len(dc.clean_words(t)) // dc.BLOCK) for _, t in docs[:40]) and found.sum() > 0
+
+
+def test_paraphrases_and_short_items_among_unknown_words(spark):
+    """Neighbours outside the benchmark's vocabulary lengthen a passage by their number, not by its square."""
+    rng, fresh = random.Random(6), (f"other{i}" for i in range(10**6))
+    items, docs, truth = [], [], set()
+    for i in range(48):
+        size = rng.randint(4, 15) if i < 24 else rng.randint(16, 59)
+        item = [f"item{i}x{k}" for k in range(size)]
+        items.append((i, " ".join(item), " ".join(item[-max(1, size // 4) :])))
+        placed = list(item)
+        if i % 2 and size >= 8:  # a paraphrase: 0.55 to 0.75 of the words stay in order, the answer's among them
+            gone = rng.sample(range(size - size // 4), size - -(-size * 6 // 10))
+            placed = [next(fresh) if k in gone else w for k, w in enumerate(item)]
+        words = [next(fresh) for _ in range(400)]
+        at = rng.randint(0, 400)
+        words[at:at] = placed
+        docs.append((i, " ".join(words)))
+        truth.add((i, i))
+    got = dc.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string, answer string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == truth
+    assert any(dc.PARAPHRASE <= r.share < dc.WHOLE for r in got)

@@ -279,10 +279,11 @@ def _search(items: Items, weight: np.ndarray, folded: np.ndarray, kind: str, cos
         for batch in batches:
             best: dict[tuple[int, int], list[tuple[float, int]]] = {}
             for ids, block, row, number in _pieces(batch, 2, kind):
-                # Each block's words, once with their number; others than the vocabulary's only lengthen its vector.
+                # Each block's words, once with their number; others than the vocabulary's only lengthen its vector, as
+                # so many different words (their one id says nothing of which are equal).
                 keys, times = np.unique(block * (n + 1) + ids, return_counts=True)
                 in_block, word = keys // (n + 1), keys % (n + 1)
-                power = square[word] * times.astype(np.float32) ** 2
+                power = square[word] * np.where(word < n, times**2, times)
                 norm = np.bincount(in_block, weights=power, minlength=len(row))
                 own = np.bincount(in_block, weights=power * (word < n), minlength=len(row))
                 pair = np.append(row[1:] == row[:-1], False)
