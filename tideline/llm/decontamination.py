@@ -1,4 +1,5 @@
-"""Benchmark decontamination by latent semantic retrieval.
+"""Benchmark decontamination by retrieval of passages. The latent space holds every item, so its cosine is the lexical
+one (the README says what that misses).
 
 1. Texts become word ids of the benchmark's vocabulary (lower-cased, punctuation dropped; other words are one id that
    only has weight) in one pass, written once.
