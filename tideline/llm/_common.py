@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import contextlib
 import os
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The bytes that part words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -27,9 +28,12 @@ SEGMENT = 1 << 19
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir, which every executor sees. Only where it is unset (tests), a local one."""
+    """The folder named in spark.checkpoint.dir, which every executor sees. Where it is unset, a local one if driver and
+    executors are one process (tests); on a cluster that is an error, as executors would not see each other's files."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = f"file://{tempfile.gettempdir()}/tideline-checkpoints"
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -58,14 +62,62 @@ def bounded_batches(spark: SparkSession, rows: int = 512, size: int = 8 << 20) -
             spark.conf.set(key, str(most))
 
 
-def row_keyed(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns and a key `rid` of each row. Rows that repeat an id or have none stay apart by it.
+#: Files whose names are sent to the executors to number them, at most; the rows of more files are written once.
+NUMBERED_FILES = 100_000
+_ROW_BITS = 40
 
-    The key follows the input's partitions, so the input must be a table or files (each read gives the same rows in the
-    same partitions), which holds for every stage of the pipeline.
+
+def _one_table(df: DataFrame) -> bool:
+    """Whether df is a projection or filter of one Parquet table, whose rows Spark can name by file and place."""
+    if "_metadata" in [c.lower() for c in df.columns]:
+        return False
+    node = df._jdf.queryExecution().analyzed()
+    while node.getClass().getSimpleName() in ("Project", "Filter", "SubqueryAlias"):
+        if not node.deterministic():
+            return False
+        node = node.children().head()
+    if node.getClass().getSimpleName() != "LogicalRelation" or node.relation().getClass().getSimpleName() != "HadoopFsRelation":
+        return False
+    relation = node.relation()
+    return relation.fileFormat().toString() == "Parquet" and relation.location().rootPaths().size() == 1
+
+
+def _plain(path: Column | str) -> Column | str:
+    """A file's URI with one slash after its scheme, as Spark writes it both ways."""
+    if isinstance(path, str):
+        return re.sub(r"^([A-Za-z][A-Za-z0-9+.-]*):/+", r"\1:/", path)
+    return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
+
+
+def keyed(df: DataFrame) -> tuple[DataFrame, str]:
+    """(df with one more column, that column's name): a long that tells df's rows apart, the same at every read.
+
+    Of a Parquet table it is made of the file's rank by name and the row's place in the file, so it doesn't depend on how
+    a read splits the files. Other inputs are written to the shared folder once, with a key, and read from there. The
+    column's name is one that df doesn't have. Keys rise with files and rows.
     """
+    spark, name = df.sparkSession, "__row_key"
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    files = sorted({_plain(f) for f in df.inputFiles()}) if _one_table(df) else None
+    if files is None or len(files) > NUMBERED_FILES:
+        return written(df.withColumn(name, F.monotonically_increasing_id()), "keyed-rows"), name
+    own = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+    ranks = spark.createDataFrame(list(zip(files, range(len(files)), strict=True)) or [("", 0)], f"{name}f string, {name}k long")
+    placed = df.select(*own, _plain(F.col("_metadata.file_path")).alias(f"{name}f"), F.col("_metadata.row_index").alias(f"{name}i"))
+    placed = placed.join(F.broadcast(ranks), f"{name}f", "left")
+    rank = F.coalesce(F.col(f"{name}k"), F.raise_error(F.concat(F.lit("a file that the table doesn't list: "), F.col(f"{name}f"))).cast("long"))
+    return placed.select(*own, (F.shiftleft(rank, _ROW_BITS) + F.col(f"{name}i")).alias(name)), name
+
+
+def row_keyed(df: DataFrame, *columns: Column, key: str | None = None) -> DataFrame:
+    """The columns and a key `rid` of each row: df's column `key`, or one of its own (see `keyed`). Rows that repeat an id
+    or have none stay apart by it. Texts go to Python in bounded batches from here on."""
     bounded_batches(df.sparkSession)
-    return df.select(*(F.col(c) for c in columns), F.monotonically_increasing_id().alias("rid"))
+    if key is not None:
+        return df.select(*columns, F.col(key).alias("rid"))
+    rows, key = keyed(df.select(*columns))
+    return rows.withColumnRenamed(key, "rid")
 
 
 def file_system(uri: str):

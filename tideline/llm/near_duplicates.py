@@ -203,12 +203,12 @@ def _with_grams(n: int):
     return run
 
 
-def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, recall: float = 0.999) -> DataFrame:
+def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS, recall: float = 0.999, key: str | None = None) -> DataFrame:
     """One row for each row of docs: doc_id, rid (row key), class_id (the smallest doc_id of its class), links (how many
     other n-gram sets its own is linked with), copies (rows with its set) and chosen (the class's first row by doc_id,
-    then row key; true for one row of each class)."""
+    then row key; true for one row of each class). The row key is docs' column `key`, or one of its own."""
     bands, rows = choose_bands(threshold, recall)
-    keyed = common.row_keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", "text")
+    keyed = common.row_keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), key=key)
     signed = common.written(signatures(keyed, bands, rows, n), "signatures")
     texts = common.written(
         signed.filter("k1 is not null").groupBy("k1", "k2").agg(F.min("rid").alias("text"), F.count("*").alias("copies"), F.first("n_grams").alias("n_grams"), F.first("bands").alias("bands")),
@@ -238,5 +238,6 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int
 
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
     """The rows of docs that are their class's first; all columns stay."""
-    chosen = near_duplicate_classes(docs, threshold, n).filter("chosen").select(F.col("rid").alias("__row_key"))
-    return docs.withColumn("__row_key", F.monotonically_increasing_id()).join(chosen, "__row_key", "left_semi").drop("__row_key")
+    rows, key = common.keyed(docs)
+    chosen = near_duplicate_classes(rows, threshold, n, key=key).filter("chosen").select(F.col("rid").alias(key))
+    return rows.join(chosen, key, "left_semi").drop(key)

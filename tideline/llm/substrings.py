@@ -239,12 +239,13 @@ def repeated_windows(docs: DataFrame, n: int = 20, period: int = 13) -> DataFram
     return _met(marked.mapInArrow(_windows(n, period, count), BLOCK_SCHEMA), _later_windows, count, "window-marks")
 
 
-def without_repeats(docs: DataFrame, n: int = 20, period: int = 13, joined: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, n: int = 20, period: int = 13, joined: bool = False, key: str | None = None) -> DataFrame:
     """Each row's doc_id, rid, n_words, n_removed and kept: its text without the words of windows that start earlier.
 
-    A removed run goes with the white space after it. With joined, kept is the kept words with one space between.
+    A removed run goes with the white space after it. With joined, kept is the kept words with one space between. rid is
+    docs' column `key`, or a key of its own.
     """
-    keyed = common.row_keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", "text")
+    keyed = common.row_keyed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), key=key)
     marked = keyed.join(repeated_windows(keyed, n, period), "rid", "left").select("doc_id", "rid", "text", "places")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

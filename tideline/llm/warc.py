@@ -180,7 +180,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = 0, version: int =
     common.bounded_batches(pages.sparkSession)
     base = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    keyed = base.select("page_id", "url", "html", F.monotonically_increasing_id().alias("rid"))
+    keyed = common.row_keyed(base, F.col("page_id"), F.col("url"), F.col("html"))
     again = keyed.select("page_id", "rid", F.sha1(payload).alias("sha1"), F.length(payload).alias("size")).join(originals(base, least), ["sha1", "size"])
     again = common.written(again.filter(~F.col("page_id").eqNullSafe(F.col("first"))).select("rid", "first"), "revisits")
 
