@@ -25,11 +25,13 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that stand earlier; documents that lose all their words go."""
-    kept = substrings.without_repeats(docs).select(F.col("rid").alias("__row_key"), F.col("kept").alias("__kept"), (F.col("n_removed") > 0).alias("__cut"), (F.col("n_removed") < F.col("n_words")).alias("__left"))
-    kept = kept.filter("__cut")
-    joined = docs.withColumn("__row_key", F.monotonically_increasing_id()).join(kept, "__row_key", "left").filter(F.coalesce("__left", F.lit(True)))
-    text = F.when(F.col("__cut"), F.col("__kept")).otherwise(F.col("text"))
-    size = F.when(F.col("__cut"), F.length("__kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    rows, key = common.keyed(docs)
+    kept = substrings.without_repeats(rows, key=key).filter("n_removed > 0")
+    kept = kept.select(F.col("rid").alias(key), F.col("kept").alias(f"{key}kept"), (F.col("n_removed") < F.col("n_words")).alias(f"{key}left"))
+    joined = rows.join(kept, key, "left").filter(F.coalesce(f"{key}left", F.lit(True)))
+    cut, short = F.col(f"{key}left"), F.col(f"{key}kept")
+    text = F.when(cut, short).otherwise(F.col("text"))
+    size = F.when(cut, F.length(short).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return joined.select(*(text.alias(c) if c == "text" else size.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns))
 
 
