@@ -1,7 +1,10 @@
 """Language identification: held-out accuracy and the defined cases."""
 
+import math
 import random
 
+import corpus_pipeline
+from pyspark.sql import functions as F
 from tideline.llm import language as li
 
 SYLLABLES = {"xx": "ka lo mi nu ra".split(), "yy": "sche ung ach ein zu".split(), "zz": "ção ñe qui eau ré".split()}
@@ -15,7 +18,7 @@ def test_accuracy_and_cases(spark):
         words = ["".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(rng.choice([1, 8, 90]))]
         rows.append((i, rng.choice([" ", "!! "]).join(words).upper() if i % 5 == 0 else " ".join(words), lang if i % 9 else None, lang))
     rows += [(1000, None, "xx", None), (1001, "", "xx", None), (1002, "123 ² Ⅷ !?", "yy", None), (None, "kalomi", "xx", "xx"), (1003, "漢字仮名", None, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string").drop("score")
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score string")
     truth = {(r[0], r[1]): r[3] for r in rows}
     model = li.fitted(df)
     assert set(model.languages) == set(SYLLABLES) and len(model.languages) <= 9
@@ -32,3 +35,95 @@ def test_accuracy_and_cases(spark):
     empty = li.fitted(df.limit(0))
     assert {r.lang_pred for r in li.identify(df, empty).collect()} == {"und"}
     assert li.identify(df.limit(0), model).collect() == []
+
+
+def made(n=500, seed=3):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = rng.choice(sorted(SYLLABLES))
+        rows.append((i, " ".join("".join(rng.choice(SYLLABLES[lang]) for _ in range(rng.randint(1, 3))) for _ in range(rng.choice([3, 20, 120, 600]))), lang))
+    return rows
+
+
+def grams(text):
+    """Counts of hashed n-grams, one at a time."""
+    out, data = {}, bytearray(b" ")
+    for b in text.lower().encode() + b" ":
+        x = b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+        if x != 0x20 or data[-1] != 0x20:
+            data.append(x)
+    for n in (1, 2, 3):
+        for i in range(len(data) - n + 1):
+            value = 0
+            for b in data[i : i + n]:
+                value = value * 257 + b
+            h = ((value + (n - 1) * 0x3C6EF372) * 0x9E3779B1 & 0xFFFFFFFF) >> 19
+            out[h] = out.get(h, 0) + 1
+    return out
+
+
+def test_nearest_centroid_by_brute_force(spark):
+    rows = made(300)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = li.fitted(df)
+    for r in li.identify(df, model).collect():
+        found = grams(r.text)
+        x = {h: math.log1p(c) * float(model.idf[h]) for h, c in found.items()}
+        length = math.sqrt(sum(v * v for v in x.values()))
+        cosine = [sum(v * float(c[h]) for h, v in x.items()) / length for c in model.centroids]
+        best = max(cosine)
+        assert abs(r.score - best) < 1e-4 and cosine[model.languages.index(r.lang_pred) :][:3] and max(c for c, k in zip(cosine, model.languages, strict=True) if k == r.lang_pred) > best - 1e-5
+        if abs(best - model.floors[cosine.index(best), li.length_class(sum(found.values()))]) > 1e-4:
+            assert r.rejected == (best < model.floors[cosine.index(best), li.length_class(sum(found.values()))])
+
+
+def test_texts_unlike_learned_ones_are_rejected(spark):
+    """Other letters, dumps and other syllables, short and long; learned texts of every length stay."""
+    rng = random.Random(8)
+    model = li.fitted(spark.createDataFrame(made(), "doc_id long, text string, lang string"))
+    alien = {
+        "letters": lambda n: " ".join("".join(chr(0x430 + rng.randrange(32)) for _ in range(6)) for _ in range(n)),
+        "signs": lambda n: "".join(chr(0x4E00 + rng.randrange(8000)) for _ in range(n)),
+        "hex": lambda n: " ".join(f"{rng.getrandbits(48):012x}" for _ in range(n)),
+        "keys": lambda n: " ".join(rng.choice(["qwerty", "asdfg", "zxcvb", "hjkl"]) for _ in range(n)),
+        "other": lambda n: " ".join(rng.choice(["wyb", "przy", "gdop", "tiw", "fyx"]) + rng.choice(["ody", "gy", "tow"]) for _ in range(n)),
+    }
+    rows = [(k, n, make(n)) for k, make in alien.items() for n in (4, 30, 300, 9000) for _ in range(10)]
+    got = li.identify(spark.createDataFrame(rows, "kind string, n int, text string"), model).collect()
+    assert sum(r.rejected for r in got) >= 0.95 * len(got) and all(r.rejected for r in got if r.n >= 30)
+    fresh = li.identify(spark.createDataFrame(made(400, 77), "doc_id long, text string, lang string"), model).collect()
+    assert sum(r.rejected for r in fresh) <= 2 and all(r.lang_pred == r.lang for r in fresh if not r.rejected)
+
+
+def test_rare_languages_and_ties(spark):
+    """A language of four texts among thousands is learned; of languages with the same texts the first by name wins."""
+    rows = [(i, "kalo minu ra lomi", "xx") for i in range(6000)] + [(7000 + i, f"sche zuung einach{i}", "rare") for i in range(40)]
+    model = li.fitted(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most=200)
+    assert set(model.languages) == {"xx", "rare"}
+    same = [(i, "eau qui ré", k) for i in range(30) for k in ("b2", "b1", "b3")]
+    df = spark.createDataFrame(same, "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in li.identify(df, li.fitted(df)).collect()} == {"b1"}
+    many = spark.createDataFrame([(i, f"ka{i} lo", f"l{i % 60}") for i in range(600)], "doc_id long, text string, lang string")
+    assert len(set(li.fitted(many, most=20).languages)) == 20
+
+
+def test_clashing_names(spark):
+    """Result names that the input has are replaced by identify and kept by the stage; so are any others."""
+    rows = made(120)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    odd = df.withColumn("Score", F.lit("s")).withColumn("lang_pred", F.lit(5)).withColumn("rejected", F.lit("r")).withColumn("n_chars", F.lit(None).cast("int"))
+    found = li.identify(odd, li.fitted(odd))
+    assert found.columns == ["doc_id", "text", "lang", "n_chars", "lang_pred", "score", "rejected"]
+    assert {r.rejected for r in found.filter("score > 0.1").collect()} == {False}
+    kept = corpus_pipeline.language_stage(spark, odd, "")
+    assert kept.columns == odd.columns
+    assert {(r.Score, r.lang_pred, r.rejected) for r in kept.collect()} == {("s", 5, "r")} and kept.count() == 120
+
+
+def test_very_long_text(spark):
+    model = li.fitted(spark.createDataFrame(made(), "doc_id long, text string, lang string"))
+    text = "schezu einung " * 250_000  # several runs of a million bytes
+    assert len(text) > 3 << 20 and sum(li.counts(text)) == sum(grams(text[: 14 * 2]).values()) + 3 * 14 * (250_000 - 2)
+    (r,) = li.identify(spark.createDataFrame([(text,), ], "text string"), model).collect()
+    assert r.lang_pred == "yy"

@@ -28,8 +28,8 @@ def table(spark, tmp_path):
     """Rows of several files with row groups of a few hundred rows, in a folder with odd characters."""
     path = f"{tmp_path}/a b%20c"
     words = F.concat_ws(" ", *(F.concat(F.lit("w"), (F.col("id") * 31 + k) % 997) for k in range(40)))
-    df = spark.range(3000).select(F.col("id").alias("n"), (F.col("id") % 1500).alias("doc_id"), words.alias("text"), F.lit("en").alias("lang"), F.lit(1).alias("n_chars"))
-    df.repartition(3).write.option("parquet.block.size", 20000).parquet(path)
+    df = spark.range(900).select(F.col("id").alias("n"), (F.col("id") % 450).alias("doc_id"), words.alias("text"), F.lit("en").alias("lang"), F.lit(1).alias("n_chars"))
+    df.repartition(3).write.option("parquet.block.size", 8000).parquet(path)
     return path
 
 
@@ -40,7 +40,7 @@ def test_keys_stay_when_splits_change(spark, table, splits):
     splits(16)
     assert spark.read.parquet(table).rdd.getNumPartitions() > parts
     many = keys(spark.read.parquet(table))
-    assert few == many and len({k for _, k in many}) == 3000 and filtered < many
+    assert few == many and len({k for _, k in many}) == 900 and filtered < many
 
 
 def test_results_stay_when_splits_change_between_reads(spark, table, splits):
@@ -56,7 +56,7 @@ def test_results_stay_when_splits_change_between_reads(spark, table, splits):
     plan = decontamination.without_leaks(spark.read.parquet(table), items)
     splits(16)
     kept = {r.n for r in plan.collect()}
-    assert not {7, 1004, 2001} & kept and len(kept) > 2900
+    assert 7 not in kept and len(kept) > 800
 
 
 def test_written_inputs_and_clashing_names(spark, table):
@@ -77,7 +77,7 @@ def test_archives_under_another_split(spark, table, splits):
     splits(2)
     records = warc.archive_round_trip(pages)
     splits(16)
-    assert {(r.page_id, r.refers_to) for r in records.collect()} == {(n, n - 1500 if n >= 1500 else None) for n in range(3000)}
+    assert {(r.page_id, r.refers_to) for r in records.collect()} == {(n, n - 450 if n >= 450 else None) for n in range(900)}
 
 
 def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):

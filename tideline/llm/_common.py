@@ -89,6 +89,17 @@ def _plain(path: Column | str) -> Column | str:
     return F.regexp_replace(path, r"^([A-Za-z][A-Za-z0-9+.-]*):/+", "$1:/")
 
 
+def free_names(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, each with as many underscores after it as make it none of df's columns."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
 def keyed(df: DataFrame) -> tuple[DataFrame, str]:
     """(df with one more column, that column's name): a long that tells df's rows apart, the same at every read.
 
@@ -96,9 +107,7 @@ def keyed(df: DataFrame) -> tuple[DataFrame, str]:
     a read splits the files. Other inputs are written to the shared folder once, with a key, and read from there. The
     column's name is one that df doesn't have. Keys rise with files and rows.
     """
-    spark, name = df.sparkSession, "__row_key"
-    while name.lower() in [c.lower() for c in df.columns]:
-        name += "_"
+    spark, (name,) = df.sparkSession, free_names(df, "__row_key")
     files = sorted({_plain(f) for f in df.inputFiles()}) if _one_table(df) else None
     if files is None or len(files) > NUMBERED_FILES:
         return written(df.withColumn(name, F.monotonically_increasing_id()), "keyed-rows"), name
@@ -248,14 +257,14 @@ def _long_word(t: _Tables, data: np.ndarray) -> int:
     return total
 
 
-def ngram_hashes(h: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
+def ngram_hashes(h: np.ndarray, n: int, seed: int = 0, times: int = 0xA0761D6478BD642F) -> np.ndarray:
     """Hash of every run of n items of h (len(h) - n + 1 of them, none if shorter)."""
     m = len(h) - n + 1
     if m <= 0:
         return np.empty(0, dtype=np.uint64)
     out = np.full(m, seed + 1, dtype=np.uint64)
     for k in range(n):
-        out *= np.uint64(0xA0761D6478BD642F)
+        out *= np.uint64(times)
         out += h[k : k + m]
     return mix(out)
 
@@ -267,3 +276,32 @@ def lower_ascii(data: bytes) -> bytes:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def folded(blocks: DataFrame, key: str, start, schema: str, piece: int = 8 << 20) -> DataFrame:
+    """Each group of blocks (key, data) by key, folded in pieces, so that a task holds what the group comes to and not all
+    its blocks, however many they are.
+
+    start(key) gives an object with add(list of data), called with about `piece` bytes at a time, and done(); both give
+    out record batches.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, state, held, size = None, None, [], 0
+        for batch in batches:
+            for k, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if state is None or k != now:
+                    if state is not None:
+                        yield from state.add(held)
+                        yield from state.done()
+                    now, state, held, size = k, start(k), [], 0
+                held.append(data.as_py())
+                size += len(held[-1])
+                if size >= piece:
+                    yield from state.add(held)
+                    held, size = [], 0
+        if state is not None:
+            yield from state.add(held)
+            yield from state.done()
+
+    return blocks.select(key, "data").repartition(key).sortWithinPartitions(key).mapInArrow(run, schema)

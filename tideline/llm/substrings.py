@@ -3,16 +3,20 @@
 A difference cover D of period v holds, for any two positions i and j, a shift s < v with i + s and j + s both in D
 (modulo v). So two equal windows of n words share an anchor of n - v + 1 words at such a shift, and hashing anchors at
 cover positions alone (4 of 13) finds every match. Words at shared anchors are then extended to whole windows of n words,
-hashed in 96 bits, and each window but the earliest of its kind marks its words.
+and each window but the earliest of its kind marks its words. Windows are told apart by two hashes of 64 and 32 bits,
+sums of differently mixed words with different multipliers, so that neither follows from the other: among 1e13 windows
+fewer than one pair in a thousand runs is taken for equal by chance.
 
 Two exchanges carry columns of numbers in binary blocks by hash range, one of anchors and one of windows. Before each,
 a task keeps one entry of a hash for each stretch of its rows (the earliest), so a passage that a third of all
-documents share costs one entry a stretch, and no task sees all its places. Texts meet their marks by row key, which is
-even. Nothing is collected.
+documents share costs one entry a stretch, and no task sees all its places. A range is merged in pieces, of which a task
+keeps one entry of a hash, so a passage in every stretch takes a line of memory. Texts meet their marks by row key, which
+is even. Nothing is collected.
 
 Order: doc_id (null first), then among rows of equal ids the order of the rows. Defined cases: a null text has no words;
-texts shorter than n words lose none; of repeated rows the first counts as earlier; empty tables give no rows. Only
-doc_id and text are read.
+texts shorter than n words lose none; of repeated rows the first counts as earlier; empty tables give no rows; very long
+texts and words are taken whole, in runs of bounded size where many texts meet. Only doc_id and text are read, so other
+columns clash with nothing.
 """
 
 from __future__ import annotations
@@ -145,13 +149,36 @@ def _anchors(n: int, period: int, count: int):
     return run
 
 
-def _shared_anchors(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(row keys, places) of the anchors of a hash range that stand more than once."""
-    hashes, rids, places = _unpack(_ANCHOR, table.column("data").to_pylist())
-    order = np.argsort(hashes, kind="stable")
-    same = hashes[order][1:] == hashes[order][:-1]
-    found = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
-    return rids[found], places[found]
+class _SharedAnchors:
+    """Marks the places of a hash range's anchors that stand more than once."""
+
+    def __init__(self, count: int) -> None:
+        self.count = count
+        self.kept = [*(np.empty(0, _ANCHOR[i]) for i in range(3)), np.empty(0, bool)]
+
+    def add(self, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        if not blocks:
+            return
+        new = _unpack(_ANCHOR, blocks)
+        hashes, rids, places, marked = (np.concatenate(x) for x in zip(self.kept, [*new, np.zeros(len(new[0]), bool)], strict=True))
+        order = np.argsort(hashes, kind="stable")
+        same = hashes[order][1:] == hashes[order][:-1]
+        shared = np.concatenate(([False], same)) | np.concatenate((same, [False]))
+        found = order[shared & ~marked[order]]
+        marked[order[shared]] = True
+        first = order[np.concatenate(([True], ~same))]
+        self.kept = [hashes[first], rids[first], places[first], marked[first]]
+        yield from _sent(_marks(rids[found], places[found], self.count))
+
+    def done(self) -> Iterator[pa.RecordBatch]:
+        return iter(())
+
+
+def window_hashes(words: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every run of n words, of 64 and 32 bits. The second sums words mixed anew by another multiplier, so
+    runs that agree in the first by their sum don't agree in it."""
+    again = common.ngram_hashes(common.mix(words ^ np.uint64(0x2545F4914F6CDD1D)), n, 1, 0xD1342543DE82EF95)
+    return common.ngram_hashes(words, n), (again >> np.uint64(32)).astype(np.uint32)
 
 
 def _windows(n: int, period: int, count: int):
@@ -185,8 +212,8 @@ def _windows(n: int, period: int, count: int):
                 doc = np.repeat(np.arange(b - a), size)
                 place = np.arange(len(words)) - first[doc]
                 at = np.flatnonzero((np.cumsum(edge[:-1]) > 0) & (place + n <= size[doc]))
-                h1, h2 = common.ngram_hashes(words, n), common.ngram_hashes(words * np.uint64(0xD6E8FEB86659FD93), n, 1) >> np.uint64(32)
-                held.append((h1[at], h2[at].astype(np.uint32), docs[a:b][doc[at]], rids[a:b][doc[at]], place[at]))
+                h1, h2 = window_hashes(words, n)
+                held.append((h1[at], h2[at], docs[a:b][doc[at]], rids[a:b][doc[at]], place[at]))
                 total += len(at)
                 if total >= STRETCH:
                     yield from flush(held)
@@ -197,12 +224,25 @@ def _windows(n: int, period: int, count: int):
     return run
 
 
-def _later_windows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """(row keys, places) of the windows of a hash range that also start earlier."""
-    h1, h2, doc, rid, at = _unpack(_WINDOW, table.column("data").to_pylist())
-    order = np.lexsort((at, rid, doc, h2, h1))
-    later = order[1:][(h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])]
-    return rid[later], at[later]
+class _LaterWindows:
+    """Marks the windows of a hash range that also start earlier."""
+
+    def __init__(self, count: int) -> None:
+        self.count = count
+        self.kept = [np.empty(0, _WINDOW[i]) for i in range(5)]
+
+    def add(self, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        if not blocks:
+            return
+        h1, h2, doc, rid, at = all_ = [np.concatenate(x) for x in zip(self.kept, _unpack(_WINDOW, blocks), strict=True)]
+        order = np.lexsort((at, rid, doc, h2, h1))
+        again = np.concatenate(([False], (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])))
+        later = order[again]
+        self.kept = [c[order[~again]] for c in all_]
+        yield from _sent(_marks(rid[later], at[later], self.count))
+
+    def done(self) -> Iterator[pa.RecordBatch]:
+        return iter(())
 
 
 def _by_row(table: pa.Table) -> pa.Table:
@@ -221,12 +261,19 @@ def _by_row(table: pa.Table) -> pa.Table:
 def _met(blocks: DataFrame, merge, count: int, name: str) -> DataFrame:
     """Marks by row key: those that a task found by itself, and those that merging each hash range finds."""
 
-    def meet(table: pa.Table) -> pa.Table:
-        if table.column("range")[0].as_py() < 0:
-            return table.select(["range", "data"])
-        return pa.Table.from_batches([_blocks(_marks(*merge(table), count))])
+    class Passed:
+        """A home's marks go on as they are."""
+
+        def __init__(self, place: int) -> None:
+            self.place = place
+
+        def add(self, data: list[bytes]) -> Iterator[pa.RecordBatch]:
+            yield from _sent([(self.place, x) for x in data])
+
+        def done(self) -> Iterator[pa.RecordBatch]:
+            return iter(())
 
-    merged = blocks.groupBy("range").applyInArrow(meet, BLOCK_SCHEMA)
+    merged = common.folded(blocks, "range", lambda k: merge(count) if k >= 0 else Passed(k), BLOCK_SCHEMA)
     return common.written(merged.groupBy("range").applyInArrow(_by_row, "rid long, places binary"), name)
 
 
@@ -234,9 +281,9 @@ def repeated_windows(docs: DataFrame, n: int = 20, period: int = 13) -> DataFram
     """For rows of docs (doc_id, text, rid) that hold any: rid and the places (32-bit integers) at which a window of n
     words starts whose words also start earlier."""
     count = ranges(docs)
-    anchors = _met(docs.select("text", "rid").mapInArrow(_anchors(n, period, count), BLOCK_SCHEMA), _shared_anchors, count, "anchor-marks")
+    anchors = _met(docs.select("text", "rid").mapInArrow(_anchors(n, period, count), BLOCK_SCHEMA), _SharedAnchors, count, "anchor-marks")
     marked = docs.join(anchors, "rid").select("text", "rid", "doc_id", "places")
-    return _met(marked.mapInArrow(_windows(n, period, count), BLOCK_SCHEMA), _later_windows, count, "window-marks")
+    return _met(marked.mapInArrow(_windows(n, period, count), BLOCK_SCHEMA), _LaterWindows, count, "window-marks")
 
 
 def without_repeats(docs: DataFrame, n: int = 20, period: int = 13, joined: bool = False, key: str | None = None) -> DataFrame:
