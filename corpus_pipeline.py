@@ -15,7 +15,8 @@ from tideline.llm import decontamination, language, near_duplicates, packing, su
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is identified: texts without a letter and texts unlike all learned languages go."""
-    return language.identify(docs, language.fitted(docs)).filter(~F.col("rejected")).select(*docs.columns)
+    names = common.free_names(docs, "lang_pred", "score", "rejected")
+    return language.identify(docs, language.fitted(docs), names).filter(~F.col(names[2])).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
