@@ -161,6 +161,16 @@ def test_the_latent_space_decides(spark):
     assert any(lexical[k] < dc.COSINE for k in pairs[36])
 
 
+def test_sums_of_groups():
+    rng = np.random.default_rng(2)
+    table, group = rng.standard_normal((50, 3)), np.sort(rng.integers(0, 9, 700) ** 3)
+    at = rng.integers(0, 50, 700)
+    names, sums = dc._group_sums(table, at, group)
+    assert names.tolist() == sorted(set(group.tolist()))
+    assert np.allclose(sums, [table[at[group == g]].sum(axis=0) for g in names])
+    assert dc._group_sums(table, at[:0], group[:0])[1].shape == (0, 3)
+
+
 def test_a_bound_of_words_in_common_loses_nothing():
     rng = np.random.default_rng(3)
     flat = rng.integers(0, 12, 4000).astype(np.int32)

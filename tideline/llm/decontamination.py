@@ -116,35 +116,52 @@ def encoded(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     return docs.select("doc_id", "text", "rid").mapInArrow(run, "doc_id long, rid long, ids binary")
 
 
-def _pieces(batch: pa.RecordBatch, column: int, kind: str, most: int = 48_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(word ids, block of each word, row of each block, block's number in its row) of runs of rows. A very long row comes
-    in parts, which overlap by one block."""
-    ids, block, row, number = [], [], [], []
-    n_blocks = n_words = 0
-
-    def out():
-        return np.concatenate(ids).astype(np.int64), np.concatenate(block), np.concatenate(row), np.concatenate(number)
-
+def _pieces(batch: pa.RecordBatch, column: int, kind: str, other: int, most: int = 96_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(word ids by block, filled up with `other`; row of each block; block's number in its row) of runs of rows. A very
+    long row comes in parts, which overlap by one block."""
+    ids, row, number, size = [], [], [], 0
+    step = most // BLOCK * BLOCK
     for r, data in enumerate(batch.column(column).to_pylist()):
         words = np.frombuffer(data, kind)
-        step = most // BLOCK * BLOCK
         for a in range(0, len(words), step - BLOCK):
             part = words[a : a + step]
             if a and len(part) <= BLOCK:
                 break
-            if n_words + len(part) > most and n_words:
-                yield out()
-                ids, block, row, number = [], [], [], []
-                n_blocks = n_words = 0
+            if size and size + len(part) > most:
+                yield np.concatenate(ids).reshape(-1, BLOCK), np.concatenate(row), np.concatenate(number)
+                ids, row, number, size = [], [], [], 0
             count = -(-len(part) // BLOCK)
-            ids.append(part)
-            block.append(n_blocks + np.arange(len(part)) // BLOCK)
+            ids += [part.astype(np.int32), np.full(count * BLOCK - len(part), other, np.int32)]
             row.append(np.full(count, r))
             number.append(a // BLOCK + np.arange(count))
-            n_blocks += count
-            n_words += len(part)
-    if n_words:
-        yield out()
+            size += count * BLOCK
+    if size:
+        yield np.concatenate(ids).reshape(-1, BLOCK), np.concatenate(row), np.concatenate(number)
+
+
+def _row_sums(table: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The sum of the table's rows that each row of `at` names; column by column, as that stays in cache."""
+    out = np.take(table, at[:, 0], axis=0)
+    for k in range(1, at.shape[1]):
+        out += np.take(table, at[:, k], axis=0)
+    return out
+
+
+def _group_sums(table: np.ndarray, at: np.ndarray, group: np.ndarray, wide: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """(groups, sum of the rows of table that `at` names in each) for groups in rising order: groups are cut into runs of
+    `wide`, summed, and their sums again."""
+    names, size = np.unique(group, return_counts=True)
+    table = np.vstack((table, np.zeros((1, table.shape[1]), table.dtype)))
+    while len(at):
+        runs = -(-size // wide)
+        slot = np.arange(len(at)) + np.repeat((np.cumsum(runs) - runs) * wide - (np.cumsum(size) - size), size)
+        grid = np.full(int(runs.sum()) * wide, len(table) - 1)
+        grid[slot] = at
+        sums = _row_sums(table, grid.reshape(-1, wide))
+        if runs.max() == 1:
+            return names, sums
+        table, at, size = np.vstack((sums, np.zeros((1, sums.shape[1]), sums.dtype))), np.arange(len(sums)), runs
+    return names, table[:0]
 
 
 def _summed(df: DataFrame, fan_in: int = 64) -> np.ndarray:
@@ -180,8 +197,10 @@ def frequencies(words: DataFrame, size: int, kind: str) -> tuple[np.ndarray, int
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, blocks = np.zeros(size + 1), 0
         for batch in batches:
-            for ids, block, row, _ in _pieces(batch, 2, kind, 400_000):
-                total += np.bincount(np.unique(block * (size + 1) + ids) % (size + 1), minlength=size + 1)
+            for ids, row, _ in _pieces(batch, 2, kind, size):
+                ids.sort(axis=1)
+                new = np.concatenate((np.ones((len(ids), 1), bool), ids[:, 1:] != ids[:, :-1]), axis=1)
+                total += np.bincount(ids[new], minlength=size + 1)
                 blocks += len(row)
         # The number of blocks goes as two numbers that four bytes hold exactly.
         yield from _given(np.append(total, (blocks >> 20, blocks & 0xFFFFF)))
@@ -198,24 +217,20 @@ def sketch(words: DataFrame, local: np.ndarray, weight: np.ndarray, test: np.nda
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, w, omega = shared.value
-        weighted, total = omega * w[:, None], np.zeros(omega.shape)
+        weighted, total = np.vstack((omega * w[:, None], np.zeros((1, omega.shape[1]), np.float32))), np.zeros(omega.shape)
         for batch in batches:
-            for ids, block, row, _ in _pieces(batch, 2, kind, 24_000):
+            for ids, row, _ in _pieces(batch, 2, kind, len(number) - 1):
                 ids = number[ids]
-                known = ids < n
-                if not known.any():
-                    continue
-                ids, block = ids[known], block[known]
-                sums = np.zeros((len(row), omega.shape[1]), dtype=np.float32)
-                edge = np.flatnonzero(np.diff(block, prepend=-1))
-                sums[block[edge]] = np.add.reduceat(weighted[ids], edge, axis=0)
+                sums = _row_sums(weighted, ids)
                 joined = np.flatnonzero(row[1:] == row[:-1])
                 wide = 2 * sums  # each block's passages: with the one before and the one after
                 wide[joined] += sums[joined + 1]
                 wide[joined + 1] += sums[joined]
-                order = np.argsort(ids, kind="stable")
-                edge = np.flatnonzero(np.diff(ids[order], prepend=-1))
-                total[ids[order][edge]] += np.add.reduceat(wide[block[order]], edge, axis=0) * w[ids[order][edge], None]
+                flat = ids.reshape(-1).astype(np.uint16 if n < 65535 else np.int32)
+                order = np.argsort(flat, kind="stable")
+                order = order[: np.searchsorted(flat[order], n)]
+                names, added = _group_sums(wide, order // BLOCK, flat[order])
+                total[names] += added * w[names, None]
         yield from _given(total)
 
     flat = _summed(words.mapInArrow(run, "part long, chunk int, data binary"))
@@ -306,8 +321,9 @@ def _possible(flat: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndar
     """Which candidates' neighbourhoods flat[low:high] hold at least `need` of their item's words, each counted at most as
     often as the item has it (times: of each item and word). No common subsequence is longer than that count."""
     out = np.zeros(len(low), dtype=bool)
-    for a in range(0, len(low), 2048):
-        part = slice(a, a + 2048)
+    step = max(1, (1 << 19) // max(1, int((high - low).max(initial=1))))
+    for a in range(0, len(low), step):
+        part = slice(a, a + step)
         at = low[part, None] + np.arange(int((high[part] - low[part]).max()))
         ids = np.where(at < high[part, None], flat[np.minimum(at, len(flat) - 1)], other)
         ids.sort(axis=1)
@@ -326,7 +342,7 @@ def _search(group: Items, space: Space, kind: str, cosine: float, spark: SparkSe
         n = len(s.fold) - 1
         length = np.array([len(x) for x in item_words])
         least = np.array([_least(len(x)) for x in item_words])
-        times = np.zeros((len(item_words), n + 1), dtype=np.uint16)
+        times = np.zeros((len(item_words), n + 1), dtype=np.uint32)
         for j, x in enumerate(item_words):
             np.add.at(times[j], s.local[x], 1)
         times[:, n] = 0
@@ -335,14 +351,8 @@ def _search(group: Items, space: Space, kind: str, cosine: float, spark: SparkSe
             first = np.concatenate(([0], np.cumsum([len(x) for x in texts])))
             flat = s.local[np.concatenate(texts)] if first[-1] else np.empty(0, np.int32)
             best: dict[tuple[int, int], list[tuple[float, int]]] = {}
-            for ids, block, row, number in _pieces(batch, 2, kind):
-                ids = s.local[ids]
-                known = np.flatnonzero(ids < n)
-                if not len(known):
-                    continue
-                sums = np.zeros((len(row), s.fold.shape[1]), dtype=np.float32)
-                edge = np.flatnonzero(np.diff(block[known], prepend=-1))
-                sums[block[known[edge]]] = np.add.reduceat(s.fold[ids[known]], edge, axis=0)
+            for ids, row, number in _pieces(batch, 2, kind, len(s.local) - 1):
+                sums = _row_sums(s.fold, s.local[ids])
                 joined = np.flatnonzero(row[1:] == row[:-1])
                 both = sums.copy()
                 both[joined] += sums[joined + 1]
