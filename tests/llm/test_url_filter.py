@@ -42,3 +42,28 @@ def test_trees_learn(spark):
     truth = {r[0]: r[2] for r in rows}
     assert sum(r.verdict == truth[r.page_id] for r in got) >= 0.95 * len(got)
     assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_every_suffix_of_the_sample_counts_and_copies_are_weights(spark):
+    """Labels that only the suffix tells apart, over many suffixes; a URL in a third of the rows doesn't fill the sample."""
+    rng = random.Random(4)
+    rows = [(f"http://h{rng.randrange(9)}.s{k}.net/x{rng.randrange(10**6)}", "block" if k % 2 else "allow") for k in range(900) for _ in range(12)]
+    rows += [("http://hot.one.net/", "allow")] * 5000
+    df = spark.createDataFrame(rows, "url string, verdict string")
+    model = uf.train(df)
+    assert len(model.suffixes) == 901
+    fresh = spark.createDataFrame([(k, f"http://h3.s{k}.net/y{k}") for k in range(900)], "page_id long, url string")
+    got = uf.judged(fresh, model, ()).collect()
+    assert sum(r.verdict == ("block" if r.page_id % 2 else "allow") for r in got) >= 0.95 * 900
+    sample = uf._sampled(df, 3000).collect()
+    assert len(sample) == len({r.url for r in sample}) == 3000
+    assert sum(r.w for r in uf._sampled(df, 20_000).collect()) == len(rows)
+
+
+def test_equally_long_rules_and_very_long_urls(spark):
+    rules = (("allow", "b.a", "/x"), ("block", "a", "/xyz"), ("block", "a", "/x/"), ("allow", "c.b.a", "/"))
+    long = "http://c.b.a/xyz/" + "q" * 200_000
+    df = spark.createDataFrame([(1, "http://b.a/xyz"), (2, "http://b.a/x/"), (3, "http://c.b.a/xyz"), (4, long)], "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in uf.filter_urls(df, rules).collect()}
+    assert got == {1: ("b.a/x", "allow"), 2: ("b.a/x", "allow"), 3: ("c.b.a/", "allow"), 4: ("c.b.a/", "allow")}
+    assert uf.filter_urls(df.withColumn("host", df.url).withColumn("f_suffix", df.url).withColumn("rule", df.url), rules).count() == 4

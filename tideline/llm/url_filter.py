@@ -1,12 +1,18 @@
 """URL filter: allow and block rules, and gradient-boosted trees on lexical features for all other URLs.
 
 Everything is DataFrame expressions. Features are built-in functions of the URL. Training is boosting on histograms:
-each level of a tree is one grouped aggregation of gradients by node, feature and bin over a bounded, written sample, and
-the driver reads those few sums and picks the splits. The finished model is one expression, so judging URLs is a scan.
+each level of a tree is one aggregation of gradients by node, feature and bin over a bounded, written sample, and the
+driver reads those few sums and picks the splits; after each tree the sample is written with its new margins, so no plan
+grows. The finished trees are one expression and suffix statistics a table of at most as many rows as the sample, so
+judging URLs is a scan with a broadcast join.
+
+The sample is `most` distinct labelled URLs with the number of rows of each as its weight, by the order of a hash, taken
+after a filter by hash that leaves about four times as many rows, so nothing large is sorted or exchanged.
 
 Defined cases: a URL that is null or has no `://` has empty host and path, no rule, and the model's verdict on empty
-features; with no labelled URL, or labels of one class only, every unruled URL gets that class, or `allow` without any.
-Rows that repeat are judged alike. Only page_id and url are read.
+features; with no labelled URL, or labels of one class only, every unruled URL gets that class, or `allow` without any;
+of rules equally long that fit, the one with the longer host decides. Very long URLs are taken whole. Rows that repeat
+are judged alike. Only page_id and url are read, so columns of other names clash with nothing.
 """
 
 from __future__ import annotations
@@ -28,8 +34,8 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-#: Labelled URLs that a model is trained on, at most; suffixes whose statistics it keeps, at most (the most frequent).
-SAMPLE, SUFFIXES = 20_000, 256
+#: Labelled URLs that a model is trained on, at most. All their suffixes keep their statistics.
+SAMPLE = 20_000
 TREES, DEPTH, BINS, RATE, SMOOTH = 8, 3, 12, 0.4, 8.0
 
 
@@ -99,12 +105,14 @@ class Model:
     suffixes: dict[str, float] = field(default_factory=dict)
     suffix_default: float = 0.5
 
-    def suffix_score(self, suffix: Column) -> Column:
-        """The suffix's share of blocked training URLs, smoothed; the whole share for one that wasn't seen."""
+    def with_suffix_score(self, df: DataFrame, suffix: Column, name: str) -> DataFrame:
+        """df with the suffix's share of blocked training URLs, smoothed; the whole share for one that wasn't seen."""
         if not self.suffixes:
-            return F.lit(self.suffix_default)
-        table = F.create_map(*(F.lit(x) for pair in sorted(self.suffixes.items()) for x in pair))
-        return F.coalesce(F.try_element_at(table, suffix), F.lit(self.suffix_default))
+            return df.withColumn(name, F.lit(self.suffix_default))
+        rows = [(k, float(v)) for k, v in sorted(self.suffixes.items())]  # at most SAMPLE rows
+        table = df.sparkSession.createDataFrame(rows, f"{name}_key string, {name}_share double")
+        found = df.withColumn(f"{name}_of", suffix).join(F.broadcast(table), F.col(f"{name}_of") == F.col(f"{name}_key"), "left")
+        return found.withColumn(name, F.coalesce(f"{name}_share", F.lit(self.suffix_default))).drop(f"{name}_of", f"{name}_key", f"{name}_share")
 
     def margin(self, values: dict[str, Column]) -> Column:
         """Log-odds of block."""
@@ -121,45 +129,57 @@ class Model:
         return out
 
 
+def _sampled(labelled: DataFrame, most: int) -> DataFrame:
+    """url, y (1 for block) and w (rows) of at most `most` distinct labelled URLs, in the order of a hash."""
+    rows = labelled.filter("url is not null and verdict in ('allow', 'block')").select("url", (F.col("verdict") == "block").cast("double").alias("y"))
+    n = rows.count()
+    share = min(1.0, 4 * most / max(n, 1))
+    some = rows.filter(F.xxhash64("url") / F.lit(2.0**64) + 0.5 <= share) if share < 1 else rows
+    return some.groupBy("url", "y").agg(F.count("*").cast("double").alias("w")).orderBy(F.xxhash64("url"), "url", "y").limit(most)
+
+
 def train(labelled: DataFrame, most: int = SAMPLE) -> Model:
-    """Trains on labelled URLs (url, verdict `allow` or `block`), at most `most` of them by the order of a hash."""
-    sample = labelled.filter("url is not null and verdict in ('allow', 'block')").select("url", (F.col("verdict") == "block").cast("double").alias("y"))
-    sample = sample.select("url", "y", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")).orderBy(F.xxhash64("url"), "url", "y").limit(most)
+    """Trains on labelled URLs (url, verdict `allow` or `block`), at most `most` distinct ones, weighed by their rows."""
+    sample = _sampled(labelled, most).select("url", "y", "w", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     columns = features(F.col("url"), F.col("host"), F.col("path"))
-    sample = common.written(sample.select("y", suffix_of(F.col("host")).alias("suffix"), *(v.alias(k) for k, v in columns.items())), "url-sample")
-    total = sample.agg(F.count("*").alias("n"), F.sum("y").alias("blocked")).first()
-    if not total.n or total.blocked in (0, total.n):
-        return Model(base=-1.0 if not total.blocked else 1.0)
-    share = total.blocked / total.n
-    rows = sample.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("b")).orderBy(F.col("n").desc(), "suffix").limit(SUFFIXES).collect()
-    model = Model(math.log(share / (1 - share)), [], {r.suffix: (r.b + SMOOTH * share) / (r.n + SMOOTH) for r in rows}, share)
+    sample = common.written(sample.select("y", "w", suffix_of(F.col("host")).alias("last_labels"), *(v.alias(k) for k, v in columns.items())), "url-sample")
+    rows = sample.groupBy("last_labels").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("b")).collect()
+    total, blocked = math.fsum(r.n for r in rows), math.fsum(r.b for r in rows)
+    if not total or blocked in (0, total):
+        return Model(base=-1.0 if not blocked else 1.0)
+    share = blocked / total
+    model = Model(math.log(share / (1 - share)), [], {r.last_labels: (r.b + SMOOTH * share) / (r.n + SMOOTH) for r in rows}, share)
     names = [*columns, "suffix"]
-    data = sample.withColumn("suffix", model.suffix_score(F.col("suffix")))
+    data = model.with_suffix_score(sample, F.col("last_labels"), "suffix").drop("last_labels")
     cuts = data.agg(*(F.percentile(F.col(c), F.array(*(F.lit(i / BINS) for i in range(BINS + 1)))).alias(c) for c in names)).first()
     # Edges lie halfway between neighbouring quantiles: a value that training didn't show goes with the nearer side.
     edges = {}
     for c in names:
         at = sorted(set(cuts[c]))
         edges[c] = [(a + b) / 2 for a, b in zip(at, at[1:], strict=False)]
-    # A row becomes its bins; rows with equal bins and label are one row with a count.
+    # A row becomes its bins; rows with equal bins and label are one row with their weight. The sample is bounded, so one
+    # partition holds it and levels need no exchange.
     bins = {c: sum((F.when(F.col(c) > e, 1).otherwise(0) for e in edges[c]), F.lit(0)) for c in names}
-    data = common.written(data.select("y", *(b.alias(c) for c, b in bins.items())).groupBy("y", *names).agg(F.count("*").cast("double").alias("w")).coalesce(1), "url-bins")
+    data = data.select("y", "w", *(b.alias(c) for c, b in bins.items())).groupBy("y", *names).agg(F.sum("w").alias("w"))
+    data = common.written(data.withColumn("m", F.lit(float(model.base))).coalesce(1), "url-bins")
     values = {c: F.col(c).cast("double") for c in names}
-    binned = Model(model.base)
-    for _ in range(TREES):
-        p = 1 / (1 + F.exp(-binned.margin(values)))
-        graded = data.select(*names, (F.col("w") * (F.col("y") - p)).alias("g"), (F.col("w") * p * (1 - p)).alias("h"))
+    for k in range(TREES):
+        p = 1 / (1 + F.exp(-F.col("m")))
+        graded = data.coalesce(1).select(*names, (F.col("w") * (F.col("y") - p)).alias("g"), (F.col("w") * p * (1 - p)).alias("h"))
         tree = _grow(graded, names, edges, values)
-        binned.trees.append(tree)
         model.trees.append(_with_edges(tree, edges))
+        if k + 1 < TREES:
+            grown = Model(0.0, [tree]).margin(values)
+            data = common.written(data.coalesce(1).withColumn("m", F.col("m") + grown), "url-margins")
     return model
 
 
 def _grow(graded: DataFrame, names: list[str], edges: dict, values: dict[str, Column]):
-    """One tree on bins, a level at a time."""
-    nodes: dict[int, object] = {1: None}
+    """One tree on bins, a level at a time. A split's sums give its children's, so the leaves need no level of their own."""
     splits: dict[int, tuple] = {}
-    for level in range(DEPTH + 1):
+    sums_of: dict[int, tuple[float, float]] = {}
+    open_ = {1}
+    for level in range(DEPTH):
         place = F.lit(1)
         for _ in range(level):
             step = None
@@ -167,17 +187,18 @@ def _grow(graded: DataFrame, names: list[str], edges: dict, values: dict[str, Co
                 low = F.when(values[s[0]] <= s[1], 2 * k).otherwise(2 * k + 1)
                 step = F.when(place == k, low) if step is None else step.when(place == k, low)
             place = place if step is None else step.otherwise(place)
-        long = graded.select(place.alias("node"), "g", "h", F.explode(F.array(*(F.struct(F.lit(c).alias("f"), F.col(c).alias("b")) for c in names))).alias("x"))
+        long = graded.select(place.alias("node"), "g", "h", F.posexplode(F.array(*(F.col(c) for c in names))).alias("f", "b"))
+        if level:
+            long = long.filter(F.col("node").isin(sorted(open_)))
         sums: dict[int, dict[str, dict[int, tuple[float, float]]]] = {}
-        for r in long.groupBy("node", "x.f", "x.b").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
-            sums.setdefault(r.node, {}).setdefault(r.f, {})[r.b] = (r.g, r.h)
-        grown = False
+        for r in long.groupBy("node", "f", "b").agg(F.sum("g").alias("g"), F.sum("h").alias("h")).collect():
+            sums.setdefault(r.node, {}).setdefault(names[r.f], {})[r.b] = (r.g, r.h)
+        open_ = set()
         for node, by in sorted(sums.items()):
-            if node in splits or nodes.get(node) is not None:
-                continue
             g, h = (math.fsum(x[i] for x in by[names[0]].values()) for i in (0, 1))
+            sums_of.setdefault(node, (g, h))
             best = None
-            for name in names if level < DEPTH else []:
+            for name in names:
                 lg = lh = 0.0
                 for b in range(len(edges[name])):
                     lg, lh = lg + by[name].get(b, (0, 0))[0], lh + by[name].get(b, (0, 0))[1]
@@ -185,17 +206,19 @@ def _grow(graded: DataFrame, names: list[str], edges: dict, values: dict[str, Co
                         continue
                     gain = lg**2 / (lh + 1) + (g - lg) ** 2 / (h - lh + 1) - g**2 / (h + 1)
                     if gain > 1e-6 and (best is None or gain > best[0] + 1e-9):
-                        best = (gain, name, b)
+                        best = (gain, name, b, lg, lh)
             if best:
                 splits[node] = (best[1], best[2])
-                grown = True
-            else:
-                nodes[node] = RATE * g / (h + 1)
-        if not grown:
+                sums_of[2 * node], sums_of[2 * node + 1] = (best[3], best[4]), (g - best[3], h - best[4])
+                open_ |= {2 * node, 2 * node + 1}
+        if not open_:
             break
 
     def build(k: int):
-        return (*splits[k], build(2 * k), build(2 * k + 1)) if k in splits else float(nodes.get(k) or 0.0)
+        if k in splits:
+            return (*splits[k], build(2 * k), build(2 * k + 1))
+        g, h = sums_of.get(k, (0.0, 0.0))
+        return RATE * g / (h + 1)
 
     return build(1)
 
@@ -212,9 +235,11 @@ def judged(pages: DataFrame, model: Model, rules=RULES) -> DataFrame:
     """page_id, url, host, path, rule, verdict and score (the model's probability of block)."""
     base = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    values = {**features(F.col("url"), F.col("host"), F.col("path")), "suffix": model.suffix_score(suffix_of(F.col("host")))}
+    values = features(F.col("url"), F.col("host"), F.col("path"))
     used = sorted({n for t in model.trees for n in _names(t)})
-    base = base.select("*", rule.alias("rule"), verdict.alias("ruled"), *(values[n].alias(f"f_{n}") for n in used))
+    base = base.select("*", rule.alias("rule"), verdict.alias("ruled"), *(values[n].alias(f"f_{n}") for n in used if n in values))
+    if "suffix" in used:
+        base = model.with_suffix_score(base, suffix_of(F.col("host")), "f_suffix")
     margin = model.margin({n: F.col(f"f_{n}") for n in used})
     base = base.withColumn("score", 1 / (1 + F.exp(-margin)))
     return base.select("page_id", "url", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") > 0.5, "block").otherwise("allow")).alias("verdict"), "score")
