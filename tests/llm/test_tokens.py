@@ -101,3 +101,35 @@ def test_windows_equal_brute_force():
             best.append(min(best[i] + size - (points[k] - points[i]) + prices[k] for i in range(k) if points[k] - points[i] <= size))
         cuts = packing.windows(points, prices, size)
         assert sum(size - (b - a) + prices[list(points).index(b)] for a, b in zip(cuts, cuts[1:], strict=False)) == best[-1]
+
+
+def test_stretches_lose_nothing_against_one_plan(monkeypatch):
+    """Cuts placed stretch by stretch are those of a plan of all tokens at once; with less patience a few more windows."""
+    monkeypatch.setattr(packing, "PATIENCE", 30)
+    rng = np.random.default_rng(11)
+    for trial in range(12):
+        sizes = rng.choice([3, 40, 900, 5000], 250, p=[0.3, 0.4, 0.25, 0.05]) + rng.integers(0, 30, 250)
+        is_end = np.zeros(100, dtype=bool)
+        is_end[:7] = True
+        ids = [rng.integers(0, 100, n).astype(np.uint32) for n in sizes]
+
+        def placed(stretch, ids=ids, is_end=is_end):
+            out, rows = packing._Stretch(512, is_end, 0, stretch), []
+            for i, x in enumerate(ids):
+                rows += out.add(i, x)
+            return rows + list(out.place(last=True))
+
+        one, many = placed(1 << 40), placed(6000)
+        assert one == many, trial
+        with monkeypatch.context() as m:
+            m.setattr(packing, "PATIENCE", 2)
+            assert len({r[3] for r in placed(6000)}) <= 1.05 * len({r[3] for r in one})
+
+
+def test_long_unbroken_strings_are_not_kept(tmp_path):
+    encode = tokens.Encoder()
+    rng = random.Random(1)
+    texts = [" ".join("".join(rng.choice("abcdefgh0123") for _ in range(3000)) for _ in range(20)) + " word"]
+    ids = encode(texts)[0]
+    assert ids.tolist() == encode.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    assert all(len(k) <= tokens.LONGEST for k in [*encode.first, *encode.later]) and "word" in encode.later

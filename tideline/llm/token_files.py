@@ -4,6 +4,10 @@ A word has a selector in its top four bits and, under it, as many ids as their w
 a word, and each segment lists its blocks' words, so all blocks are encoded and decoded side by side. An id of over 60
 bits is escaped: selector 15 and the id's place in the segment's list of such ids.
 
+Defined cases: a null text counts as empty and has its end id alone; rows with null or repeated ids are written like
+others, null first; a very long text is encoded whole, in one segment; an empty table gives no files and no rows. Only
+doc_id and text are read, so other columns clash with nothing.
+
 A file is a run of segments of whole documents, each readable by its offset alone:
 magic `TDL-S8B1`, then as 64-bit little-endian integers the numbers of documents, ids, blocks, words and escapes; then
 the documents' ids (int64), their null flags (uint8), their lengths (uint64), the blocks' first words (uint64), the
@@ -21,6 +25,7 @@ from pyspark.sql import functions as F
 
 from . import _common as common
 from . import tokens
+from .substrings import ranges
 
 MAGIC = b"TDL-S8B1"
 BLOCK = 1024
@@ -29,6 +34,8 @@ SELECTORS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8
 ESCAPE = 15
 #: Ids of a segment at least (but the last), so that a task holds little and a reader can start anywhere.
 SEGMENT = 1 << 19
+#: Bytes of input for each file, and of files for each task that reads; so files and tasks grow in number, not in size.
+FILE_BYTES, READ_BYTES = 128 << 20, 64 << 20
 
 
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -137,7 +144,8 @@ def read_segment(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]
 
 def write_ids(docs: DataFrame, folder: str, end_id: int = 0, path: str | None = None) -> DataFrame:
     """Writes the ids of all texts, each followed by end_id, in ascending order of doc_id (null first; among equal ids by
-    a hash of the text) to files under folder, one for each partition of a range partitioning.
+    a hash of the text) to files under folder, one for each partition of a range partitioning, as many as the input's size
+    asks for.
 
     Returns the list of segments: file_no, segment, file, at, n_bytes, n_docs, n_ids. A null text counts as empty. An
     empty table gives an empty list. Running it writes; so write its result to a table before use.
@@ -183,7 +191,7 @@ def write_ids(docs: DataFrame, folder: str, end_id: int = 0, path: str | None =
             names = ["file_no", "segment", "file", "at", "n_bytes", "n_docs", "n_ids"]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == "file" else pa.int64()) for c, k in zip(columns, names, strict=True)], names)
 
-    n = max(1, common.partitions(docs.sparkSession))
+    n = ranges(docs, FILE_BYTES)
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange(n, "doc_id")
@@ -218,7 +226,8 @@ def read_ids(segments: DataFrame) -> DataFrame:
                         ["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    return listed.repartition(max(1, common.partitions(spark)), "file", "at").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
+    size = segments.agg(F.sum("n_bytes").alias("n")).first().n or 0
+    return listed.repartition(max(1, common.partitions(spark), size // READ_BYTES), "file", "at").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
 
 
 def round_trip(docs: DataFrame, end_id: int = 0, path: str | None = None) -> DataFrame:

@@ -31,6 +31,10 @@ def _byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+#: Characters of a piece that is kept, at most; longer ones (encoded data) rarely come again.
+LONGEST = 64
+
+
 class _Pieces(dict):
     """Ids of pieces as bytes. A piece that isn't here is encoded, or fetched from the generation before."""
 
@@ -42,7 +46,8 @@ class _Pieces(dict):
         ids = self.old.get(piece)
         if ids is None:
             ids = self.owner.piece(self.prefix, piece)
-        self[piece] = ids
+        if len(piece) <= LONGEST:
+            self[piece] = ids
         return ids
 
     def age(self, most: int) -> None:
@@ -57,7 +62,8 @@ class Encoder:
     Such a tokenizer splits a text before every space that a non-space character follows, and encodes each piece by
     itself. So pieces are cut there first and only pieces that are new are handed to the library: natural text repeats
     most of them. Plain pieces (a word with punctuation, between line ends) go to the library's BPE model directly,
-    all others through its whole chain. The cache keeps two generations of at most `most` pieces each. Exactness
+    all others through its whole chain. The cache keeps two generations of at most `most` pieces each, none of them long,
+    which bounds its bytes. Exactness
     against encoding whole texts is tested.
     """
 
