@@ -3,6 +3,8 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
+from tideline.llm import _common as common
 from tideline.llm import near_duplicates as nd
 from tideline.llm.components import components
 
@@ -79,3 +81,28 @@ def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 90)] + [(200 + i, 200) for i in range(1, 30)] + [(301, 300), (5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert all(got[i] == 0 for i in range(91)) and all(got[200 + i] == 200 for i in range(30)) and got[301] == 300
+
+
+def test_hot_keys_are_joined_where_they_lie(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 20)
+    rows = [(i, 7 if i % 3 == 0 else i % 50 if i % 5 else None) for i in range(600)]
+    left = spark.createDataFrame(rows, "i long, k long")
+    right = left.groupBy("k").agg(F.min("i").alias("first"), F.count("*").alias("n")).filter("k is null or k % 2 = 1")
+    inner = {(r.i, r.first) for r in left.join(right.drop("n"), "k").collect()}
+    assert {(r.i, r.first) for r in common.joined(left, right, ["k"], "n").collect()} == inner
+    plain = {(r.i, r.first) for r in left.join(right.drop("n"), "k", "left").collect()}
+    assert {(r.i, r.first) for r in common.joined(left, right, ["k"], "n", "left").collect()} == plain
+    star = [(0, i) for i in range(1, 200)] + [(i + 1000, i + 1001) for i in range(30)] + [(i, i + 500) for i in range(1, 100)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(star, "a long, b long")).collect()}
+    assert len(got) == 200 + 31 + 99 and all(c == (1000 if 1000 <= k <= 1030 else 0) for k, c in got.items())
+
+
+def test_very_long_texts(spark):
+    rng = random.Random(3)
+    words = [f"v{rng.randrange(10**7)}" for _ in range(250_000)]
+    near = list(words)
+    near[1000:1100] = ["other"] * 100
+    big = "y" * (3 << 19)
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join([big, *words[:9]])), (4, " ".join([big, *words[:9]]) + " "), (5, " ".join([big + "z", *words[:9]]))]
+    got = nd.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.class_id, r.links) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 3, 0), (5, 5, 0)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import math
 import os
 import re
 import tempfile
@@ -129,6 +130,27 @@ def row_keyed(df: DataFrame, *columns: Column, key: str | None = None) -> DataFr
     return rows.withColumnRenamed(key, "rid")
 
 
+#: A key that at least that many rows and that share of them have is hot; so there are at most 1 / HOT_SHARE hot keys.
+HOT_ROWS, HOT_SHARE = 500, 1e-4
+
+
+def joined(left: DataFrame, right: DataFrame, keys: list[str], n: str, how: str = "inner", total: int | None = None) -> DataFrame:
+    """left joined with right, a table with one row for each key whose column n has the number of left's rows of that key.
+
+    Hot keys, of which there are at most 1 / HOT_SHARE whatever the size, are joined by broadcast where their rows lie, so
+    no task gets all rows of a key; all others meet by an exchange. left and right are read twice: they should be tables.
+    The column n is dropped; how is `inner` or `left`; total is the number of left's rows, if known.
+    """
+    total = left.count() if total is None else total
+    hot = F.col(n) >= max(HOT_ROWS, math.ceil(total * HOT_SHARE))
+    (mark,) = free_names(left, "__hot")
+    few = right.filter(hot).drop(n).withColumn(mark, F.lit(True))
+    near = left.join(F.broadcast(few), keys, "left")
+    others = [c for c in right.columns if c not in keys and c != n]
+    far = near.filter(F.col(mark).isNull()).drop(mark, *others).join(right.filter(~hot).drop(n), keys, how)
+    return near.filter(F.col(mark)).drop(mark).unionByName(far)
+
+
 def file_system(uri: str):
     """(pyarrow file system, path in it) of a URI or a local path."""
     from pyarrow import fs

@@ -13,17 +13,23 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
     Each round gives every node the smallest label among its neighbours', then the label of its label, so long chains
     shrink by halves. Labels are written to the shared folder each round; the driver sees only the number of changes.
-    Grouping is by partial minima; a node with very many links is split by the adaptive skew join.
+    Grouping is by partial minima; the links of a node with very many are joined where they lie (`_common.joined`).
     """
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a <> b").distinct()
     edges = common.written(both, "links")
-    labels = common.written(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("component")), "labels")
+    first = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m"), F.count("*").alias("n"))
+    labels = common.written(first.select("node", F.least("node", "m").alias("component"), "n"), "labels")
+    n_edges, n_nodes = edges.count(), labels.count()
     for _ in range(rounds):
-        near = edges.join(labels.select(F.col("node").alias("b"), "component"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
-        step = labels.join(near, "node").select("node", F.least("component", "m").alias("next"), F.col("component").alias("old"))
-        jump = step.join(labels.select(F.col("node").alias("next"), F.col("component").alias("far")), "next", "left")
-        new = common.written(jump.select("node", F.least("next", F.coalesce("far", "next")).alias("component"), (F.least("next", F.coalesce("far", "next")) < F.col("old")).alias("changed")), "labels")
-        labels = new.select("node", "component")
+        near = common.joined(edges, labels.select(F.col("node").alias("b"), "component", "n"), ["b"], "n", total=n_edges)
+        near = near.groupBy(F.col("a").alias("node")).agg(F.min("component").alias("m"))
+        step = labels.join(near, "node").select("node", "n", F.least("component", "m").alias("next"), F.col("component").alias("old"))
+        step = common.written(step, "steps")
+        far = labels.select(F.col("node").alias("next"), F.col("component").alias("far")).join(step.groupBy("next").agg(F.count("*").alias("times")), "next")
+        jump = common.joined(step, far, ["next"], "times", total=n_nodes)
+        least = F.least("next", "far")
+        new = common.written(jump.select("node", "n", least.alias("component"), (least < F.col("old")).alias("changed")), "labels")
+        labels = new.select("node", "component", "n")
         if new.filter("changed").isEmpty():
-            return labels
+            return labels.select("node", "component")
     raise RuntimeError(f"components did not settle in {rounds} rounds")

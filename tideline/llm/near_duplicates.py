@@ -13,9 +13,13 @@
 Bands and rows are chosen for a target recall at the threshold; the default misses fewer than one in a thousand pairs
 that are just at the threshold, and a class usually holds together by more than one pair.
 
+Copies of a text and members of a class meet their text's and class's row by `_common.joined`, which joins hot keys where
+their rows lie.
+
 Defined cases: texts with fewer than n words have one n-gram, all their words; a text without words (null, empty) is
 in no class but its own; rows of equal or null doc_id are told apart by row key; a class of null ids only has a null
-class_id. Empty tables give no rows. Only doc_id and text are read.
+class_id. Very long texts and words are taken whole, in runs of bounded size. Empty tables give no rows. Only doc_id
+and text are read, so other columns clash with nothing.
 """
 
 from __future__ import annotations
@@ -228,12 +232,13 @@ def near_duplicate_classes(docs: DataFrame, threshold: float = THRESHOLD, n: int
     labels = components(found.filter("rid <> least").select(F.col("rid").alias("a"), F.col("least").alias("b")))
     linked = found.groupBy("rid").agg(F.sum("links").alias("links"))
     labelled = texts.select("k1", "k2", F.col("text").alias("rid"), "copies").join(labels.withColumnRenamed("node", "rid"), "rid", "left").join(linked, "rid", "left")
-    labelled = labelled.select("k1", "k2", "copies", F.coalesce("component", "rid").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
-    placed = signed.select("doc_id", "rid", "k1", "k2").join(labelled, ["k1", "k2"], "left")
+    labelled = labelled.select("k1", "k2", "copies", F.col("copies").alias("n"), F.coalesce("component", "rid").alias("label"), F.coalesce("links", F.lit(0)).alias("links"))
+    placed = common.joined(signed.select("doc_id", "rid", "k1", "k2"), common.written(labelled, "labelled"), ["k1", "k2"], "n", "left")
     placed = placed.select("doc_id", "rid", F.coalesce("label", "rid").alias("label"), F.coalesce("links", F.lit(0).cast("long")).alias("links"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
     placed = common.written(placed, "placed")
-    firsts = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"))
-    return placed.join(firsts, "label").select("doc_id", "rid", F.col("first.doc_id").alias("class_id"), "links", "copies", (F.col("rid") == F.col("first.rid")).alias("chosen"))
+    firsts = placed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid")).alias("first"), F.count("*").alias("n"))
+    classes = common.joined(placed, common.written(firsts, "firsts"), ["label"], "n")
+    return classes.select("doc_id", "rid", F.col("first.doc_id").alias("class_id"), "links", "copies", (F.col("rid") == F.col("first.rid")).alias("chosen"))
 
 
 def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, n: int = WORDS) -> DataFrame:
