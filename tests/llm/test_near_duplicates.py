@@ -106,3 +106,22 @@ def test_very_long_texts(spark):
     rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join([big, *words[:9]])), (4, " ".join([big, *words[:9]]) + " "), (5, " ".join([big + "z", *words[:9]]))]
     got = nd.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.class_id, r.links) for r in got) == [(1, 1, 1), (2, 1, 1), (3, 3, 0), (4, 3, 0), (5, 5, 0)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_components_against_brute_force(spark, seed, monkeypatch):
+    """Chains of shuffled nodes, sparse random graphs and stars, in few rounds."""
+    monkeypatch.setattr(common, "HOT_ROWS", 30)
+    rng = random.Random(seed)
+    nodes = rng.sample(range(10**6), 900)
+    links = [(nodes[i], nodes[i + 1]) for i in range(300)]
+    links += [(rng.choice(nodes[400:800]), rng.choice(nodes[400:800])) for _ in range(220)] + [(nodes[850], x) for x in nodes[800:900]]
+    label = {x: x for x in nodes}
+    for _ in range(400):
+        before = dict(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+        if before == label:
+            break
+    got = {r.node: r.component for r in components(spark.createDataFrame(links, "a long, b long"), rounds=12).collect()}
+    assert got == {x: label[x] for x in {x for a, b in links if a != b for x in (a, b)}}

@@ -102,15 +102,14 @@ class Model:
 
     base: float
     trees: list = field(default_factory=list)
-    suffixes: dict[str, float] = field(default_factory=dict)
+    suffixes: DataFrame | None = None  # suffix, share: at most as many rows as the sample
     suffix_default: float = 0.5
 
     def with_suffix_score(self, df: DataFrame, suffix: Column, name: str) -> DataFrame:
         """df with the suffix's share of blocked training URLs, smoothed; the whole share for one that wasn't seen."""
-        if not self.suffixes:
+        if self.suffixes is None:
             return df.withColumn(name, F.lit(self.suffix_default))
-        rows = [(k, float(v)) for k, v in sorted(self.suffixes.items())]  # at most SAMPLE rows
-        table = df.sparkSession.createDataFrame(rows, f"{name}_key string, {name}_share double")
+        table = self.suffixes.select(F.col("suffix").alias(f"{name}_key"), F.col("share").alias(f"{name}_share"))
         found = df.withColumn(f"{name}_of", suffix).join(F.broadcast(table), F.col(f"{name}_of") == F.col(f"{name}_key"), "left")
         return found.withColumn(name, F.coalesce(f"{name}_share", F.lit(self.suffix_default))).drop(f"{name}_of", f"{name}_key", f"{name}_share")
 
@@ -143,12 +142,13 @@ def train(labelled: DataFrame, most: int = SAMPLE) -> Model:
     sample = _sampled(labelled, most).select("url", "y", "w", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     columns = features(F.col("url"), F.col("host"), F.col("path"))
     sample = common.written(sample.select("y", "w", suffix_of(F.col("host")).alias("last_labels"), *(v.alias(k) for k, v in columns.items())), "url-sample")
-    rows = sample.groupBy("last_labels").agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("b")).collect()
-    total, blocked = math.fsum(r.n for r in rows), math.fsum(r.b for r in rows)
-    if not total or blocked in (0, total):
-        return Model(base=-1.0 if not blocked else 1.0)
-    share = blocked / total
-    model = Model(math.log(share / (1 - share)), [], {r.last_labels: (r.b + SMOOTH * share) / (r.n + SMOOTH) for r in rows}, share)
+    sums = sample.agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("b")).first()
+    if not sums.n or sums.b in (0, sums.n):
+        return Model(base=-1.0 if not sums.b else 1.0)
+    share = sums.b / sums.n
+    of_suffix = sample.groupBy(F.col("last_labels").alias("suffix")).agg(F.sum("w").alias("n"), F.sum(F.col("w") * F.col("y")).alias("b"))
+    of_suffix = of_suffix.select("suffix", ((F.col("b") + SMOOTH * share) / (F.col("n") + SMOOTH)).alias("share"))
+    model = Model(math.log(share / (1 - share)), [], common.written(of_suffix, "url-suffixes"), share)
     names = [*columns, "suffix"]
     data = model.with_suffix_score(sample, F.col("last_labels"), "suffix").drop("last_labels")
     cuts = data.agg(*(F.percentile(F.col(c), F.array(*(F.lit(i / BINS) for i in range(BINS + 1)))).alias(c) for c in names)).first()
