@@ -29,6 +29,13 @@ PLACE_PATTERNS = (r"Địa chỉ\s*[:\-]?\s*([^\n\r]+)", r"Khu vực\s*[:\-]?\s*
 POSTED_PATTERNS = (r"Ngày đăng\s*[:\-]?\s*([^\n\r]+)", r"Đăng ngày\s*[:\-]?\s*([^\n\r]+)")
 BEDROOM_PATTERNS = (r"(\d+)\s*phòng ngủ", r"Phòng ngủ\s*[:\-]?\s*(\d+)")
 BATHROOM_PATTERNS = (r"(\d+)\s*phòng tắm", r"(\d+)\s*toilet", r"Phòng tắm\s*[:\-]?\s*(\d+)", r"Toilet\s*[:\-]?\s*(\d+)")
+GIVEN = {
+    "title": ("title", "listing_title", "title_raw"),
+    "price": ("price", "price_raw", "gia", "muc_gia"),
+    "area": ("area", "area_raw", "dien_tich"),
+    "place": ("address", "location", "location_raw", "detail_location_raw"),
+    "posted": ("posted_date", "posted_date_raw", "ngay_dang"),
+}
 NO_TITLE = ("mức giá", "diện tích", "địa chỉ")
 CAPITAL = ("ha-noi", "hà nội", "ha noi")
 
@@ -45,17 +52,19 @@ def lines_of(text: Column) -> Column:
     return F.filter(F.transform(F.split(text, r"\R"), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")), lambda x: x != "")
 
 
-def after_label(lines: Column, labels: tuple[str, ...], reach: int, pattern: str, group: int = 0) -> Column:
-    """What the pattern finds first in the `reach` lines after the first line that is a label and has such a line."""
-    hits = F.transform(lines, lambda line, i: F.when(F.lower(line).isin(*labels), F.element_at(F.filter(F.slice(lines, i + 2, reach), lambda x: x.rlike(_F + pattern)), 1)))
-    found = F.try_element_at(F.filter(hits, lambda x: x.isNotNull()), F.lit(1))
-    return clean_text(found if group == 0 else F.regexp_extract(found, _F + pattern, group))
+def by_label(lines: Column, labels: tuple[str, ...], reach: int, pattern: str, on_line: str, group: int = 0) -> Column:
+    """The first find by lines in their order: where a line is a label, what the pattern finds first in the `reach` lines
+    after it; where a line starts with a label, what on_line finds after it."""
+    named = "|".join(labels)
 
+    def find(line: Column, i: Column) -> Column:
+        after = F.try_element_at(F.filter(F.slice(lines, i + 2, reach), lambda x: x.rlike(_F + pattern)), F.lit(1))
+        after = after if group == 0 else F.regexp_extract(after, _F + pattern, group)
+        here = F.regexp_extract(line, f"(?iu)^(?:{named}) \\s*{on_line}", 1)
+        return F.when(F.lower(line).isin(*labels), after).otherwise(blank_to_null(here))
 
-def on_label_line(lines: Column, labels: tuple[str, ...], pattern: str) -> Column:
-    """What stands after a label on its own line."""
-    hit = F.filter(F.transform(lines, lambda line: F.regexp_extract(line, f"(?iu)^(?:{'|'.join(labels)})\\s+{pattern}", 1)), lambda x: x != "")
-    return clean_text(F.try_element_at(hit, F.lit(1)))
+    hits = F.filter(F.transform(lines, find), lambda x: x.isNotNull())
+    return clean_text(F.try_element_at(hits, F.lit(1)))
 
 
 def given(df: DataFrame, *names: str) -> Column:
@@ -69,11 +78,11 @@ def listing_fields(df: DataFrame) -> dict[str, Column]:
     raw = F.coalesce(F.col("raw_text"), F.lit(""))
     lines, flat = lines_of(raw), F.coalesce(clean_text(raw), F.lit(""))
     fit = F.filter(F.slice(lines, 1, 20), lambda x: (F.length(x) >= 15) & ~F.exists(F.array(*map(F.lit, NO_TITLE)), lambda p: F.startswith(F.lower(x), p)))
-    title = F.coalesce(given(df, "title", "listing_title", "title_raw"), clean_text(F.try_element_at(fit, F.lit(1))))
-    price_raw = F.coalesce(given(df, "price", "price_raw", "gia", "muc_gia"), after_label(lines, PRICE_LABELS, 4, PRICE_LINE), on_label_line(lines, PRICE_LABELS, "(.+)"), first_pattern(flat, PRICE_PATTERNS))
-    area_raw = F.coalesce(given(df, "area", "area_raw", "dien_tich"), after_label(lines, AREA_LABELS, 3, AREA_VALUE, 1), on_label_line(lines, AREA_LABELS, AREA_VALUE), first_pattern(flat, AREA_PATTERNS))
+    title = F.coalesce(given(df, *GIVEN["title"]), clean_text(F.try_element_at(fit, F.lit(1))))
+    price_raw = F.coalesce(given(df, *GIVEN["price"]), by_label(lines, PRICE_LABELS, 4, PRICE_LINE, "(.+)"), first_pattern(flat, PRICE_PATTERNS))
+    area_raw = F.coalesce(given(df, *GIVEN["area"]), by_label(lines, AREA_LABELS, 3, AREA_VALUE, AREA_VALUE, 1), first_pattern(flat, AREA_PATTERNS))
     city, district = given(df, "crawl_city_label", "crawl_city"), given(df, "crawl_district_label", "crawl_district")
-    told, found = given(df, "address", "location", "location_raw", "detail_location_raw"), first_pattern(raw, PLACE_PATTERNS)
+    told, found = given(df, *GIVEN["place"]), first_pattern(raw, PLACE_PATTERNS)
     context = blank_to_null(F.concat_ws(", ", district, city))
     capital = lambda x: F.exists(F.array(*map(F.lit, CAPITAL)), lambda c: F.contains(F.lower(x), c))
     place = F.coalesce(told, found, context)
@@ -87,7 +96,7 @@ def listing_fields(df: DataFrame) -> dict[str, Column]:
         "location_confidence": F.when(told.isNotNull() | found.isNotNull(), "high").when(context.isNotNull(), "medium").otherwise("unknown"),
         "city_norm": F.when(capital(city), "Hà Nội").when(city.isNotNull(), city).when(capital(place), "Hà Nội"),
         "district_norm": district,
-        "posted_date_raw": F.coalesce(given(df, "posted_date", "posted_date_raw", "ngay_dang"), first_pattern(raw, POSTED_PATTERNS)),
+        "posted_date_raw": F.coalesce(given(df, *GIVEN["posted"]), first_pattern(raw, POSTED_PATTERNS)),
         "bedroom_count": first_pattern(raw, BEDROOM_PATTERNS).try_cast("int"),
         "bathroom_count": first_pattern(raw, BATHROOM_PATTERNS).try_cast("int"),
     }
@@ -111,4 +120,4 @@ def with_quality(df: DataFrame) -> DataFrame:
     return df.withColumns(flags(c("price_vnd"), c("price_unit"), c("area_m2"), c("location_raw"), c("district_norm"), c("city_norm"), c("is_price_negotiable", "boolean"), c("parse_error_message")))
 
 
-__all__ = ["after_label", "first_nonblank", "first_pattern", "lines_of", "listing_fields", "on_label_line", "parsed", "with_quality"]
+__all__ = ["by_label", "first_nonblank", "first_pattern", "lines_of", "listing_fields", "parsed", "with_quality"]

@@ -131,7 +131,9 @@ def crawl_summary(log: DataFrame, *by: str) -> DataFrame:
 
 
 def with_card_fields(details: DataFrame, cards: DataFrame) -> DataFrame:
-    """details with the card fields of the same listing_url that it lacks; of several cards the first by page text."""
+    """details with the card fields of the same listing_url that it lacks; of several cards the first by card_position
+    (as `cards` of the page source gives it) and, of equal places, by text."""
     fields = [c for c in cards.columns if c.startswith("listing_card_") and c not in details.columns]
-    one = cards.groupBy("listing_url").agg(F.min(F.struct(*fields)).alias("__card"))
+    place = [F.col("card_position")] if "card_position" in cards.columns else []
+    one = cards.groupBy("listing_url").agg(F.min_by(F.struct(*fields), F.struct(*place, *fields)).alias("__card"))
     return details.join(one, "listing_url", "left").select(*details.columns, *(F.col(f"__card.{c}").alias(c) for c in fields))

@@ -1,7 +1,7 @@
 """From captures to days: keys, duplicates, one row a day, lifecycles, changes and removals.
 
-Rows are partitioned by dedup_key throughout, so changes, lifecycle and latest rows share one exchange. A day's
-duplicates are first cut down by a group-wise maximum, whose partial step runs before the exchange.
+Rows are exchanged by dedup_key once: windows over days and keys, over keys, and latest rows all find their rows
+together, as a key's rows of a day are among the key's rows. Rows that nothing identifies are spread by row.
 """
 
 from __future__ import annotations

@@ -85,6 +85,22 @@ def count_by(df: DataFrame, *columns: str, name: str = "n", unknown: str | None
     return df.groupBy(*by).agg(F.count("*").alias(name))
 
 
+def explored(df: DataFrame, among: dict[str, list] | None = None, negotiable: bool | None = None, price_range: tuple | None = None, flags: dict[str, bool] | None = None) -> DataFrame:
+    """Listings by choices: columns among values; only negotiable prices or none such (an unknown unit is none); prices in
+    a range, its ends too, or unknown; flags that are set (True) or not known to be set (False)."""
+    for column, values in (among or {}).items():
+        df = df.filter(F.col(column).isin(*values))
+    if negotiable is not None:
+        kept = F.col("price_unit").eqNullSafe("negotiable")
+        df = df.filter(kept if negotiable else ~kept)
+    if price_range is not None:
+        df = df.filter(F.col("price_vnd").between(*price_range) | F.col("price_vnd").isNull())
+    for column, wanted in (flags or {}).items():
+        kept = F.col(column).eqNullSafe(True)
+        df = df.filter(kept if wanted else ~kept)
+    return df
+
+
 def duplicate_summary(flagged: DataFrame) -> DataFrame:
     """Of each day: rows, groups of duplicates, and rows in them."""
     return flagged.groupBy("crawl_date").agg(F.count("*").alias("rows"), F.count_if("is_duplicate_in_snapshot").alias("duplicate_rows"), F.count_distinct(F.when(F.col("is_duplicate_in_snapshot"), F.col("dedup_key"))).alias("duplicate_groups"))

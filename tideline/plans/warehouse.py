@@ -143,13 +143,18 @@ def fact_listing(snap: DataFrame) -> DataFrame:
     """One row for each date, source and listing, with the keys of all dimensions and the measures."""
     rows = identified(snap)
     numbers = ("price_vnd", "area_m2", "unit_price_vnd_m2", "bedroom_count", "bathroom_count", "floor_count", "quality_score", "price_change_vnd", "price_change_pct")
-    flags = ("is_new_listing", "is_price_changed", "is_info_changed", "has_legal_info", "has_car_access", "is_price_negotiable")
+    flags = (
+        "is_new_listing", "is_price_changed", "is_info_changed", "has_legal_info", "has_car_access", "is_price_negotiable", "has_red_pink_book", "is_business_suitable",
+        "has_urban_area_flag", "has_security_flag", "has_educated_community_flag", "has_high_intellect_flag", "has_residential_area_flag", "has_subdivision_flag",
+    )
+    texts = ("legal_status_raw", "furniture_level", "car_access_type")
     where = location(rows)
     out = rows.select(
         F.col("k_date").alias("date_key"), source_key(F.col("k_source")).alias("source_key"), "listing_key", where["location_key"].alias("location_key"), property_key(property_group(rows)).alias("property_type_key"),
         *((F.col(c) if c in rows.columns else F.lit(None).cast("double")).alias(c) for c in numbers),
         F.coalesce(*(F.col(c).cast("double") for c in ("frontage_width_m", "frontage_width") if c in rows.columns), F.lit(None).cast("double")).alias("frontage_width_m"),
         *((F.coalesce(F.col(c), F.lit(False)) if c in rows.columns else F.lit(False)).alias(c) for c in flags),
+        *((blank_to_null(F.col(c).cast("string")) if c in rows.columns else F.lit(None).cast("string")).alias(c) for c in texts),
         F.coalesce(F.col("snapshot_status"), F.lit("unknown")).alias("snapshot_status"), (F.coalesce(F.col("snapshot_status"), F.lit("")) != "removed").alias("is_active_listing"),
         (F.coalesce(F.col("snapshot_status"), F.lit("")) == "removed").alias("is_removed_listing"), "dedup_key",
     )

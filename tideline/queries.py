@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions import features, price, text
+from .functions import extract, features, price, records, text
 from .functions.keys import identity
-from .operators import checks, marts
+from .operators import checks, crawl, marts, readiness, reports
 from .operators import daily as d
-from .plans import gold, warehouse
+from .plans import gold, jobs, warehouse
 from .schema import typed
 from .sources import web
 from .sources.adapters import listings_from_events
@@ -64,9 +64,162 @@ def warehouse_checks(snap: DataFrame, quality: DataFrame) -> DataFrame:
 
 
 def explorer(df: DataFrame) -> DataFrame:
-    """Listings of some types with a price in a range or none, not negotiable (an unknown unit counts as not)."""
-    wanted = ~F.col("price_unit").eqNullSafe("negotiable") & F.col("property_type_group").isin("house", "land")
-    return df.filter(wanted & (F.col("price_vnd").between(1000, 200000) | F.col("price_vnd").isNull())).select("dedup_key", "price_vnd", "price_unit")
+    kept = marts.explored(df, {"property_type_group": ["house", "land"]}, negotiable=False, price_range=(1000, 200000))
+    return kept.select("dedup_key", "price_vnd", "price_unit")
+
+
+def _star_tables(spark: SparkSession, sf_dir: str) -> tuple[gold.Run, dict[str, DataFrame]]:
+    run = gold.Run(listings_from_events(spark, sf_dir), "event_id")
+    return run, jobs.star_tables(run["snapshots"], run["data_quality"])
+
+
+def star_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, tables = _star_tables(spark, sf_dir)
+    row = jobs.star_summary(tables, run["snapshots"], run["data_quality"])
+    days = F.size("snapshot_dates").cast("bigint").alias("days")
+    return row.select(F.explode("table_row_counts").alias("table", "n"), days, F.array_join("source_codes", ",").alias("codes"))
+
+
+def star_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run, tables = _star_tables(spark, sf_dir)
+    return readiness.warehouse_checks(tables).unionByName(readiness.grain_check(tables["fact_listing"], run["snapshots"]))
+
+
+def gold_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = gold.Run(listings_from_events(spark, sf_dir), "event_id")
+    tables = {name: run[name] for name in readiness.GOLD}
+    return readiness.summary_checks(run["summary"], list(tables)).unionByName(readiness.gold_checks(tables, run["summary"]))
+
+
+def silver_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readiness.silver_checks(listings_from_events(spark, sf_dir), "src0", 10)
+
+
+def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs made of orders."""
+    k = F.col("o_orderkey")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        k.cast("string").alias("run_id"), F.col("o_orderdate").cast("date").cast("string").alias("run_date"), F.when(k % 3 == 0, "smoke").when(k % 3 == 1, "full").otherwise("reparse").alias("pipeline_mode"),
+        F.when(k % 7 == 0, "failed").otherwise("success").alias("pipeline_status"), F.when(k % 5 == 0, "fail").otherwise("passed").alias("validation_status"), (k % 300).alias("total_silver_records"),
+        F.when(k % 11 == 0, "lost").alias("error_message"), F.when(k % 4 == 0, F.array(F.lit("a"), F.lit("b"))).when(k % 4 == 1, F.array(F.lit("a"))).alias("source_names"),
+        F.when(k % 2 == 0, F.array(F.lit("2024-01-01"), F.lit("2024-01-02"))).alias("snapshot_dates"), F.when(k % 6 == 0, k % 50).alias("silver_quarantine_count"), ((k % 100) / 100).alias("parse_success_rate"),
+    )
+
+
+def run_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.run_summary(_runs(spark, sf_dir)).select("run_id", "run_class", "pipeline_status", "publish_status", "publish_block_reason", "silver_records_written", "duplicate_rate", F.size("source_names").alias("sources"))
+
+
+def daily_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.daily_summary(_runs(spark, sf_dir)).select("run_id", "pipeline_status", "error_message", "total_silver_records", "duration_seconds", F.size("snapshot_dates").alias("days"))
+
+
+def snapshot_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.snapshot_days(_runs(spark, sf_dir).withColumn("run_date", F.col("run_id")))
+
+
+def source_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_orderkey").cast("string").alias("run_id"), F.col("l_linenumber").alias("records"))
+    runs = reports.run_summary(_runs(spark, sf_dir))
+    return reports.source_rows(runs, lines).select("source_code", "run_id", "publish_status", "silver_quarantine_count", "parse_success_rate")
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources made of nations, with configuration, scorecard and warehouse."""
+    k, name = F.col("n_nationkey"), F.col("n_name")
+    flags = F.create_map(*(x for i, n in enumerate(reports.REVIEW) for x in (F.lit(n), k % (i + 6) != 0)), F.lit("prohibited_login_required"), k % 13 == 5)
+    return spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        F.struct(name.alias("source_code"), (k % 8 != 1).alias("is_active"), (k % 9 != 1).alias("production_enabled"), F.lit("silver_only").alias("production_scope"), flags.alias("review"), F.lit(5).alias("min_expected_records")).alias("config"),
+        F.struct(F.when(k % 10 != 3, name).otherwise("other").alias("source_code"), F.when(k % 4 != 2, "pass").otherwise("fail").alias("gate_status"), k.alias("total_records")).alias("scorecard"),
+        F.when(k % 5 != 4, F.struct(F.array(name).alias("source_codes"), k.alias("listing_rows"), F.lit(1).alias("quality_rows"))).alias("warehouse"),
+    )
+
+
+def promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.promotion(_sources(spark, sf_dir)).select("source_code", "status", F.size("block_reasons").alias("reasons"))
+
+
+def acceptance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _sources(spark, sf_dir)
+    return reports.acceptance(rows, F.col("config.source_code")).select("source_code", "technical_readiness_status", "source_acceptance_status", "warehouse_source_present")
+
+
+def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl's log made of events."""
+    u, i = F.col("user_id"), F.col("event_id")
+    status = F.when(i % 9 == 0, 403).when(i % 9 == 1, 429).when(i % 9 == 2, 500).when(i % 9 != 3, 200)
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", (u % 10).alias("part"), status.alias("status"), F.when(i % 9 == 3, F.when(i % 2 == 0, "Read timed out").otherwise("refused")).alias("error_message"),
+        crawl.block_reason(status, F.when(i % 5 == 0, "<TITLE>Just a moment</title>").when(i % 7 == 0, "x h-captcha").otherwise("page"), i % 3).alias("block_reason"),
+        F.concat(F.lit("u"), (u % 40).cast("string")).alias("listing_url"), (i % 1000).alias("html_bytes"), (i % 4 == 0).alias("audit_passed"),
+    )
+
+
+def block_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir)
+    return log.select("event_id", "block_reason", reports.block_message(F.col("block_reason")).alias("message"), reports.failure_class(F.col("status"), F.col("error_message")).alias("class"), crawl.retryable(F.col("status")).alias("again"))
+
+
+def crawl_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = _log(spark, sf_dir)
+    counts = reports.http_counters(log, "part")
+    return crawl.crawl_summary(log, "part").withColumns({c: F.round(c, 9) for c in ("avg_html_bytes", "success_rate", "block_rate", "audit_pass_rate")}).join(counts, "part")
+
+
+def _page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of pages made of an order's key: labels and values in fixed places."""
+    k = F.col("o_orderkey")
+    n = (k % 90 + 1).cast("string")
+    lines = F.array(
+        F.lit("Mức giá"), F.when(k % 2 == 0, F.concat(n, F.lit(",5 tỷ"))).otherwise("xem sau"), F.when(k % 4 == 1, F.concat(F.lit("Khoảng giá "), n, F.lit(" triệu"))).otherwise("-"),
+        F.concat(F.lit("Diện tích "), n, F.lit(" m2")), F.when(k % 3 == 0, "Địa chỉ: Phố Huế, Hà Nội").otherwise("-"), F.concat(F.lit("Nhà có "), (k % 5).cast("string"), F.lit(" phòng ngủ và "), (k % 3).cast("string"), F.lit(" toilet")),
+        F.when(k % 6 == 0, "Ngày đăng: 01/02/2024").otherwise("-"), F.concat(F.lit("Tin rao bán số "), k.cast("string"), F.lit(" rất đẹp")),
+    )
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        k.cast("string").alias("listing_id"), F.when(k % 5 == 0, "NhaTot").otherwise("other").alias("source"), F.array_join(lines, "\n").alias("raw_text"), F.when(k % 7 == 0, "ha-noi").alias("crawl_city"),
+        F.when(k % 8 == 0, "Quận 1").alias("crawl_district"), F.lit("ban-dat").alias("crawl_category"), F.concat(n, F.lit(" tỷ")).alias("listing_card_price_raw"), F.concat(n, F.lit(" m²")).alias("listing_card_area_raw"),
+        F.concat(F.lit("Ad "), k.cast("string")).alias("listing_card_title"),
+    )
+
+
+def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _page_text(spark, sf_dir)
+    kept = ("title_raw", "price_raw", "area_raw", "location_raw", "location_parse_method", "location_confidence", "city_norm", "district_norm", "posted_date_raw", "bedroom_count", "bathroom_count", "price_unit", "price_vnd", "area_m2")
+    return extract.parsed(rows).select("listing_id", *kept)
+
+
+def silver_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = records.records(_page_text(spark, sf_dir))
+    return out.select("listing_id", "source", "source_code", "dedup_key", "dedup_method", "title_raw", "price_unit", "price_vnd", "area_m2", "property_type_raw", "property_type_group", "location_parse_method", "parse_status", "parser_version", F.lit(len(out.columns)).alias("fields"))
+
+
+def features_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The features that features_text doesn't show, of texts that are made of an order's key."""
+    k = F.col("o_orderkey")
+    say = lambda n, *texts: F.coalesce(*(F.when(k % n == i, f" {t}") for i, t in enumerate(texts)), F.lit(""))
+    words = F.concat(
+        F.lit("Tin."), say(3, "Sổ hồng riêng.", "Đang tranh chấp."), say(4, "Chính chủ cần nhượng.", "Qua môi giới."), say(5, "Full nội thất.", "Nội thất cơ bản.", "Bàn giao thô.", "Có điều hòa."),
+        F.when(k % 2 == 0, F.concat(F.lit(" "), (k % 6 + 1).cast("string"), F.lit(" phòng tắm."))).otherwise(""), say(7, "Dự án Sao Mai."), say(8, "Tiện kinh doanh."), say(9, "Gần city."),
+        say(10, "Giữa khu dân cư."), say(11, "Có camera."), say(12, "Hàng xóm văn minh."), say(13, "Đất phân lô."), say(14, "Tòa S1, mới."),
+    )
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", words.alias("title_raw"), F.lit("house").alias("property_type_group"))
+    kept = ("has_legal_info", "legal_status_raw", "has_red_pink_book", "seller_type", "furniture_level", "bathroom_count", "project_name", "is_business_suitable", "has_urban_area_flag", "has_security_flag", "has_educated_community_flag", "has_high_intellect_flag", "has_residential_area_flag", "has_subdivision_flag", "has_car_access", "building_name")
+    return features.with_features(rows, ("title_raw",)).select("o_orderkey", *kept)
+
+
+def place_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of place of pages made of nations."""
+    k = F.col("n_nationkey")
+    rows = spark.read.parquet(f"{sf_dir}/nation.parquet").select(
+        "n_nationkey", F.when(k % 4 == 0, "Phố Huế, Hai Bà Trưng").when(k % 4 == 1, "Quận Đống Đa").alias("detail_address_raw"), F.when(k % 3 == 0, "Hai Bà Trưng, Hà Nội").alias("listing_card_location_raw"),
+        F.lit("https://x.test/ban-dat-hai-ba-trung/1").alias("listing_url"), (k % 2 == 0).alias("is_seed_url_valid"),
+    )
+    found = crawl.place_evidence(rows, F.lit("Hai Bà Trưng"), F.lit("hai-ba-trung"), F.when(k % 5 == 0, "hai-ba-trung").otherwise("nowhere"), ("Đống Đa",))
+    line = reports.detail_line(F.concat(F.lit("Một dòng\n  "), F.coalesce("detail_address_raw", F.lit("-")), F.lit("  \nhết")), F.lit("Hai Bà Trưng"), F.lit("hai-ba-trung"))
+    seed = crawl.valid_seed(F.lit("https://x.test/ban-dat-hai-ba-trung"), F.concat(F.lit("https://x.test/ban-dat-"), F.when(k % 2 == 0, "hai-ba-trung/").otherwise("dong-da")), F.lit("hai-ba-trung"))
+    kind = crawl.category_matches(F.when(k % 2 == 0, "Bán căn hộ đẹp").otherwise("Bán nhà riêng"), F.when(k % 3 == 0, "ban-nha-rieng").otherwise("ban-can-ho-chung-cu"))
+    by_text = crawl.place_of_text(F.col("detail_address_raw"), F.lit("Hai Bà Trưng"), F.lit("hai-ba-trung"), F.col("is_seed_url_valid"), ("Đống Đa",))
+    return rows.select("n_nationkey", found["evidence_source"].alias("source"), found["match_status"].alias("status"), found["match_method"].alias("method"), line.alias("line"), seed.alias("seed_ok"), kind.alias("kind_ok"), by_text["status"].alias("text_status"), by_text["method"].alias("text_method"))
 
 
 def price_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +292,28 @@ QUERIES: dict[str, Query] = {
     "daily_dedup": _gold("daily", "crawl_date", "dedup_key", "event_id", "quality_score"),
     "lifecycle": _on("daily", d.lifecycle),
     "price_changes": _gold("snapshots", "dedup_key", "snapshot_date", "snapshot_status", "is_new_listing", "price_vnd", "previous_price_vnd", "price_change_vnd", "price_change_pct", "is_price_changed"),
-    "info_changes": _gold("snapshots", "dedup_key", "snapshot_date", "previous_area_m2", "previous_district_norm", "changed_fields", "is_info_changed"),
+    "info_changes": _gold("snapshots", "dedup_key", "snapshot_date", *(f"previous_{c}" for c in d.TRACKED), *(f"is_{c}_changed" for c in d.TRACKED if c != "price_vnd"), "changed_fields", "is_info_changed"),
+    "price_changed_rows": _on("snapshots", lambda df: reports.changed(df).select("dedup_key", "snapshot_date", "price_change_vnd")),
+    "info_changed_by_date": _on("snapshots", lambda df: marts.count_by(reports.changed(df, "info"), "snapshot_date")),
+    "removed_by_date": _on("removed_listings", lambda df: marts.count_by(df, "snapshot_date")),
+    "captures_by_source": _on("flagged", lambda df: marts.count_by(df, "source", "crawl_date")),
+    "district_counts": _on("current_listings", lambda df: marts.count_by(df, "district_norm", unknown="none")),
+    "gold_checks": gold_checks,
+    "silver_checks": silver_checks,
+    "star_counts": star_counts,
+    "star_checks": star_checks,
+    "run_summaries": run_summaries,
+    "daily_summaries": daily_summaries,
+    "snapshot_days": snapshot_days,
+    "source_rows": source_rows,
+    "promotion": promotion,
+    "acceptance": acceptance,
+    "block_reasons": block_reasons,
+    "crawl_rollup": crawl_rollup,
+    "page_fields": page_fields,
+    "silver_records": silver_records,
+    "features_more": features_more,
+    "place_evidence": place_evidence,
     "removed_listings": _gold("removed_listings", "dedup_key", "snapshot_date", "last_seen_before_removed", "event_id", "snapshot_status"),
     "current_listings": _gold("current_listings", "dedup_key", "snapshot_date", "event_id", "snapshot_status"),
     "market_by_district": _on("market_by_district", _rounded),
@@ -159,9 +333,9 @@ QUERIES: dict[str, Query] = {
     "dim_source": _star(warehouse.dim_source),
     "dim_property_type": _star(lambda s, q: warehouse.dim_property_type(s)),
     "dim_location": _star(lambda s, q: warehouse.dim_location(s).select("location_key", "city_code", "district_code", "ward_code", "location_level", "location_confidence")),
-    "dim_listing": _star(lambda s, q: warehouse.dim_listing(s).select("listing_key", "first_seen_date_key", "last_seen_date_key")),
-    "fact_listing": _star(lambda s, q: warehouse.fact_listing(s).select("date_key", "listing_key", "location_key", "price_vnd", "snapshot_status", "is_price_changed")),
-    "fact_quality": _star(lambda s, q: warehouse.fact_quality(q).select("date_key", "source_key", "total_records", "duplicate_rate")),
+    "dim_listing": _star(lambda s, q: warehouse.dim_listing(s)),
+    "fact_listing": _star(lambda s, q: warehouse.fact_listing(s).withColumn("unit_price_vnd_m2", F.round("unit_price_vnd_m2", 6))),
+    "fact_quality": _star(lambda s, q: warehouse.fact_quality(q)),
     "warehouse_checks": _star(warehouse_checks),
     "price_parse": price_parse,
     "property_types": property_types,

@@ -13,11 +13,11 @@ from ..schema import without_void
 QUARANTINE = ("stage", "source", "date", "run_id", "reason")
 
 
-def write_table(df: DataFrame, path: str, by: Iterable[str] = ()) -> None:
-    """Overwrites a Parquet table; with partition columns only the partitions that df has. Rows of a partition go to one
+def write_table(df: DataFrame, path: str, by: Iterable[str] = (), whole: bool = False) -> None:
+    """Overwrites a Parquet table; with partition columns only the partitions that df has, or with `whole` all. Rows of a partition go to one
     task by hash first, spread over a few by the size that the adaptive planner sees, so files stay few and large."""
     df, by = without_void(df), list(by)
-    writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic")
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
@@ -50,6 +50,16 @@ def write_json(spark: SparkSession, text: str, path: str) -> None:
         raise OSError(f"could not rename to {path}")
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file, on any file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def write_summary(summary: DataFrame, path: str) -> None:
     """A one-row frame as a JSON file."""
     write_json(summary.sparkSession, summary.select(F.to_json(F.struct(*summary.columns))).first()[0], path)
@@ -67,9 +77,26 @@ def append_quarantine(df: DataFrame, base: str) -> None:
     checked.write.mode("append").partitionBy("stage", "source", "date").json(base)
 
 
-def export_csv(tables: dict[str, DataFrame], base: str) -> None:
-    """Each table as CSV with nulls as nothing, for other tools."""
+def _marked(df: DataFrame) -> DataFrame:
+    """df whose first column's name starts with a byte order mark, so that each CSV file with a header does."""
+    return df.withColumnRenamed(df.columns[0], f"\ufeff{df.columns[0]}")
+
+
+def write_silver(listings: DataFrame, errors: DataFrame, summary: DataFrame, base: str) -> None:
+    """Parsed listings as Parquet and, if there are any, as CSV with a byte order mark; errors as such CSV always; the
+    one-row quality summary as JSON."""
+    write_table(listings, f"{base}/listings")
+    written = listings.sparkSession.read.parquet(f"{base}/listings")
+    if not written.isEmpty():
+        export_csv({"listings_csv": written}, base, bom=True)
+    export_csv({"errors_csv": errors}, base, bom=True)
+    write_summary(summary, f"{base}/quality_summary.json")
+
+
+def export_csv(tables: dict[str, DataFrame], base: str, bom: bool = False) -> None:
+    """Each table as CSV with nulls as nothing, for other tools; with bom each file starts with a byte order mark."""
     for name, df in tables.items():
+        df = _marked(df) if bom else df
         without_void(df).write.mode("overwrite").option("header", True).option("nullValue", "").option("emptyValue", "").csv(f"{base}/{name}")
 
 

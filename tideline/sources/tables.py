@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
 from ..schema import LISTING, typed, without_void
@@ -21,10 +22,6 @@ def from_path(name: str, path: Column | None = None) -> Column:
     return F.nullif(F.regexp_extract(F.col("_metadata.file_path") if path is None else path, f"{name}=([^/]+)", 1), F.lit(""))
 
 
-def _string_partitions(spark: SparkSession) -> None:
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-
-
 def read_listings(spark: SparkSession, base: str) -> DataFrame:
     """Canonical listings under source=/crawl_date=/crawl_id= or, only if there are none, source=/crawl_date=. Files of
     different schemas are merged by name; source, day and crawl come from the path where the files lack them."""
@@ -39,14 +36,20 @@ def read_listings(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_hive(spark: SparkSession, path: str, required: bool = True) -> DataFrame | None:
-    """A partitioned table with its partition columns as strings; None if it may be absent and is."""
-    _string_partitions(spark)
+    """A partitioned table with its partition columns as strings; None if it may be absent and is. Only this read's types
+    of partition columns change: they are asked for as strings, whatever the session infers."""
     try:
-        return spark.read.parquet(path)
+        df = spark.read.parquet(path)
     except AnalysisException:
         if required:
             raise
         return None
+    own = {f.name for f in spark.read.option("recursiveFileLookup", "true").parquet(path).schema.fields}
+    levels = [f.name for f in df.schema.fields if f.name not in own]
+    if not levels:
+        return df
+    schema = StructType([StructField(f.name, StringType() if f.name in levels else f.dataType) for f in df.schema.fields])
+    return spark.read.schema(schema).parquet(path)
 
 
 def read_first(spark: SparkSession, base: str, name: str) -> DataFrame | None:
@@ -60,16 +63,18 @@ def read_first(spark: SparkSession, base: str, name: str) -> DataFrame | None:
 
 def read_bronze(spark: SparkSession, base: str, metadata_schema: str) -> DataFrame:
     """Metadata records with the text and HTML files that they name; an absent file is ''. Files meet their record by
-    path, in one join for each kind."""
+    path, in one join for each kind: a named path is one under base, absolute or with any part of base before it."""
     meta = spark.read.schema(metadata_schema).option("multiLine", True).json(f"{base}/metadata/*.json")
     out = meta.withColumn("metadata_path", F.col("_metadata.file_path"))
+    # The last two parts of a path (kind's folder and file name) name a file under base, as files lie one level deep.
+    tail = lambda x: F.regexp_extract(x, r"([^/]+/[^/]+)$", 1)
     for column, kind, name in (("raw_text_path", "txt", "raw_text"), ("raw_html_path", "html", "raw_html")):
         glob = f"{base}/*/*.{kind}"
         if not exists(spark, glob):
             out = out.withColumn(name, F.lit(""))
             continue
-        files = spark.read.option("wholetext", True).text(glob).select(F.col("value").alias(name), F.regexp_extract("_metadata.file_path", r"([^/]+)$", 1).alias("__file"))
-        out = out.withColumn("__file", F.regexp_extract(F.coalesce(column, F.lit("")), r"([^/]+)$", 1)).join(files, "__file", "left").drop("__file").withColumn(name, F.coalesce(name, F.lit("")))
+        files = spark.read.option("wholetext", True).text(glob).select(F.col("value").alias(name), tail(F.url_decode("_metadata.file_path")).alias("__file"))
+        out = out.withColumn("__file", tail(F.coalesce(column, F.lit("")))).join(files, "__file", "left").drop("__file").withColumn(name, F.coalesce(name, F.lit("")))
     return out
 
 
@@ -88,8 +93,30 @@ def read_run_summaries(spark: SparkSession, base: str, schema: str) -> DataFrame
 
 def latest_published(runs: DataFrame) -> DataFrame:
     """The last run (by finished_at, then run_id) of class production that succeeded and was published."""
-    good = (F.col("run_class") == "production") & (F.col("status") == "success") & (F.col("publish_status") == "published")
-    return runs.filter(good).orderBy(F.col("finished_at").desc_nulls_last(), F.col("run_id").desc()).limit(1)
+    return runs.filter(_published(runs)).orderBy(F.col("finished_at").desc_nulls_last(), F.col("run_id").desc()).limit(1)
+
+
+def _published(runs: DataFrame) -> Column:
+    status = "status" if "status" in runs.columns else "pipeline_status"
+    return (F.col("run_class") == "production") & (F.col(status) == "success") & (F.col("publish_status") == "published")
+
+
+def latest_production(spark: SparkSession, base: str, schema: str) -> DataFrame:
+    """The summary that base/latest_production.json points to, if it is there, can be read and is a published production
+    run; else the last of all summaries that is one. A relative path is tried under base and the three folders above."""
+    pointer = f"{base}/latest_production.json"
+    if exists(spark, pointer):
+        row = spark.read.schema("summary_path string").option("multiLine", True).json(pointer).first()
+        named = row.summary_path if row else None
+        above = [base, *(base.rstrip("/") + "/.." * k for k in (1, 2, 3))]
+        tried = [] if not named else [named] if "://" in named or named.startswith("/") else [f"{b}/{named}" for b in above]
+        found = next((p for p in tried if exists(spark, p)), None)
+        if found is not None:
+            out = spark.read.schema(schema).option("multiLine", True).json(found)
+            out = out.withColumn("summary_path", F.col("_metadata.file_path"))
+            if not (kept := out.filter(_published(out))).isEmpty():
+                return kept
+    return latest_published(read_run_summaries(spark, base, schema))
 
 
 def quarantine_counts(spark: SparkSession, base: str) -> DataFrame:
@@ -116,7 +143,7 @@ def source_keys(spark: SparkSession, path: str, default: dict[str, int]) -> dict
     if not exists(spark, path):
         return default
     found = {}
-    for row in spark.read.text(path).limit(10_000).collect():
+    for row in spark.read.text(path).collect():  # a configuration file, read whole
         name, colon, value = row.value.split("#", 1)[0].partition(":")
         name, value = name.strip().strip("\"'").lower(), value.strip().strip("\"'")
         if colon and name and value.lstrip("-").isdigit():
@@ -124,4 +151,4 @@ def source_keys(spark: SparkSession, path: str, default: dict[str, int]) -> dict
     return found or default
 
 
-__all__ = ["LISTING", "exists", "from_path", "latest_published", "quarantine_counts", "read_bronze", "read_first", "read_hive", "read_listings", "read_log", "read_run_summaries", "source_keys"]
+__all__ = ["LISTING", "exists", "from_path", "latest_production", "latest_published", "quarantine_counts", "read_bronze", "read_first", "read_hive", "read_listings", "read_log", "read_run_summaries", "source_keys"]

@@ -129,5 +129,6 @@ def cards(df: DataFrame, html: str = "html", site: str = "https://batdongsan.com
         by_class(F.col("__card"), "js__card-description", "re__card-description").alias("listing_card_description"),
     )
     fields = [c for c in out.columns if c not in ("__page", "__at", "listing_url")]
-    first = out.groupBy("__page", "listing_url").agg(F.min_by(F.struct(*fields), "__at").alias("r"))
-    return first.select("listing_url", *(F.col(f"r.{c}").alias(c) for c in fields))
+    first = out.groupBy("__page", "listing_url").agg(F.min_by(F.struct(*fields), "__at").alias("r"), F.min("__at").alias("__at"))
+    # card_position rises with pages in their order and cards on them.
+    return first.select("listing_url", *(F.col(f"r.{c}").alias(c) for c in fields), F.struct(F.col("__page").alias("page"), F.col("__at").alias("at")).alias("card_position"))
