@@ -1,20 +1,24 @@
-"""Scoring texts with a smoothed n-gram model in a trie of Elias-Fano levels.
+"""Scoring texts with a smoothed trigram model in a trie of Elias-Fano levels.
 
 Level one is the vocabulary, cut by hash into files: sorted 64-bit word hashes and the running count of their tokens
 (Elias-Fano), from which a word's count is a difference. A word's id is its rank, so ids and files go together.
-Level two holds each context's successors. The tokens of the corpus, in the order of (context, word), are cut into
-shares of equal token counts, so a context that a large part of all tokens follows spans several files and no task holds
-it whole. A file has monotone pointers from contexts to their successors, the successors relative to their context as
-one rising sequence, and for each an 8-bit code of its smoothed probability; for each context that starts in it, an
-8-bit code of its back-off weight. A query finds a word among its context's successors between two pointers.
-
-Smoothing is interpolated absolute discounting over an add-half unigram base. All tokens of the training texts are
-counted; exchanges carry one entry of a word or pair for each stretch of a task. Files lie in the shared folder and are
-memory-mapped by the tasks that score (on other stores: copied to an unlinked temporary file first).
-
-Defined cases: a null text counts as empty and still has its end token; ids that repeat or are null are scored row by row
-(a null id hashes as an empty text); with no training token every probability is the base's (half of one over the same).
-Only doc_id and text are read.
+Levels two and three hold the successors of words and of pairs. The tokens of the corpus, in the order of (word, next
+word), are cut into shares of equal token counts, so a word that a large part of all tokens follows spans several files
+and no task holds it whole. A file has monotone pointers from words to their successors, and from each such pair to the
+pair's successors; successors are relative to their context, as one rising sequence of each level. Each entry has an
+8-bit code of its discounted probability, each context one of its back-off weight. A query finds a pair among its word's
+successors between two pointers, and from its place the next word among the pair's.
+
+Smoothing is interpolated absolute discounting from pairs over words to an add-half unigram base. All tokens of the
+training texts are counted; exchanges carry one entry of a word or triple for each stretch of a task, and what a share
+gathers is merged in pieces, so a triple in every stretch takes a line of memory. Files lie in the shared folder and are
+memory-mapped by the tasks that score (on other stores: copied to an unlinked temporary file first). The driver holds
+two numbers for each file.
+
+Defined cases: a null text counts as empty and still has its end token; the end token stands before a text's first word,
+twice; ids that repeat or are null are scored row by row (a null id hashes as an empty text); with no training token
+every probability is the base's (half of one over the same); very long texts and words are taken whole, in runs of
+bounded size. Only doc_id and text are read, so other columns clash with nothing.
 """
 
 from __future__ import annotations
@@ -32,7 +36,8 @@ from .elias_fano import EliasFano, encode
 from .substrings import ranges
 
 END = np.uint64(0x5DEECE66D1CE4E5B)
-DISCOUNT = 0.75
+#: What is taken off the counts of pairs and of triples. Most triples occur once, and few of those come again.
+DISCOUNT, TRIPLE_DISCOUNT = 0.85, 0.95
 STRETCH = 1 << 18
 #: Bytes of input for each share and hash range; bounds the arrays of a task that merges or builds one.
 SHARE_BYTES = 8 << 20
@@ -68,9 +73,9 @@ def _sent(place: np.ndarray, columns: list[np.ndarray]) -> Iterator[pa.RecordBat
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(data, pa.binary())], ["place", "data"])
 
 
-def _gathered(table: pa.Table, kinds: list[str]) -> list[np.ndarray]:
+def _columns(blocks: list[bytes], kinds: list[str]) -> list[np.ndarray]:
     width, out = sum(np.dtype(k).itemsize for k in kinds), [[] for _ in kinds]
-    for data in table.column("data").to_pylist():
+    for data in blocks:
         n, at = len(data) // width, 0
         for i, k in enumerate(kinds):
             out[i].append(np.frombuffer(data, k, n, at))
@@ -97,8 +102,12 @@ def words_file(folder: str, k: int) -> str:
     return f"{folder}/words-{k:08d}"
 
 
-def pairs_file(folder: str, k: int) -> str:
-    return f"{folder}/pairs-{k:08d}"
+def share_file(folder: str, k: int) -> str:
+    return f"{folder}/share-{k:08d}"
+
+
+def edge_file(folder: str, k: int) -> str:
+    return f"{folder}/edge-{k:08d}"
 
 
 @dataclass
@@ -182,14 +191,25 @@ def count_tokens(docs: DataFrame, folder: str) -> Vocabulary:
         if total:
             yield from give(held)
 
-    def merge(table: pa.Table) -> pa.Table:
-        place = table.column("place")[0].as_py()
-        keys, counts = _summed(*_gathered(table, ["<u8", "<u8"]))
-        running = np.concatenate(([0], np.cumsum(counts))).astype(np.uint64)
-        common.write_file(words_file(folder, place), iter((encode(running), keys.astype("<u8").tobytes())))
-        return pa.table({"place": pa.array([place], pa.int64()), "n": pa.array([len(keys)], pa.int64()), "tokens": pa.array([int(running[-1])], pa.int64())})
+    class Words:
+        """Sums a hash range's counts and writes its file."""
+
+        def __init__(self, place: int) -> None:
+            self.place, self.keys, self.counts = place, np.empty(0, np.uint64), np.empty(0, np.uint64)
 
-    made = docs.select("text").mapInArrow(run, "place long, data binary").groupBy("place").applyInArrow(merge, "place long, n long, tokens long")
+        def add(self, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+            if blocks:
+                keys, counts = _columns(blocks, ["<u8", "<u8"])
+                self.keys, self.counts = _summed(np.concatenate((self.keys, keys)), np.concatenate((self.counts, counts)))
+            return iter(())
+
+        def done(self) -> Iterator[pa.RecordBatch]:
+            running = np.concatenate(([0], np.cumsum(self.counts))).astype(np.uint64)
+            common.write_file(words_file(folder, self.place), iter((encode(running), self.keys.astype("<u8").tobytes())))
+            yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (self.place, len(self.keys), int(running[-1]))], ["place", "n", "tokens"])
+
+    blocks = docs.select("text").mapInArrow(run, "place long, data binary")
+    made = common.folded(blocks, "place", Words, "place long, n long, tokens long")
     ids, before = np.zeros(n + 1, dtype=np.int64), np.zeros(n + 1, dtype=np.int64)
     for r in common.written(made, "word-files").toLocalIterator():
         ids[r.place + 1], before[r.place + 1] = r.n, r.tokens
@@ -203,22 +223,35 @@ def _share(before: np.ndarray, count: np.ndarray, word: np.ndarray, size: int, s
     return (before + inside) // step
 
 
-def _pairs(vocabulary: Vocabulary, texts: list[bytes]):
-    """(context's id, its tokens before, its count; word's id, its count) of every token, and the texts' sizes. The
-    context of a first word is the end token, as no text ends after it."""
-    hashes, sizes = tokens(texts)
-    keys, place = np.unique(hashes, return_inverse=True)
-    ids, before, count = (x[place] for x in vocabulary.look(keys))
-    at = np.empty(len(hashes), dtype=np.int64)
-    at[1:] = np.arange(len(hashes) - 1)
-    starts = np.cumsum(sizes) - sizes
-    at[starts] = np.cumsum(sizes) - 1
-    return ids[at], before[at], count[at], ids, count, sizes
+@dataclass
+class _Tokens:
+    """The tokens of some texts: distinct ones with their ids, tokens before and counts, which of them each token is, and
+    the texts' sizes and first tokens."""
+
+    ids: np.ndarray
+    before: np.ndarray
+    count: np.ndarray
+    kind: np.ndarray
+    sizes: np.ndarray
+    starts: np.ndarray
+
+    @classmethod
+    def of(cls, vocabulary: Vocabulary, texts: list[bytes]) -> _Tokens:
+        hashes, sizes = tokens(texts)
+        keys, kind = np.unique(hashes, return_inverse=True)
+        return cls(*vocabulary.look(keys), kind, sizes, np.cumsum(sizes) - sizes)
+
+    def previous(self) -> np.ndarray:
+        """The kind before each token; the end token before a text's first."""
+        out = np.empty_like(self.kind)
+        out[1:] = self.kind[:-1]
+        out[self.starts] = self.kind[self.starts + self.sizes - 1]
+        return out
 
 
 @dataclass
 class Model:
-    """Both levels: the vocabulary, which shares have a file, tokens of a share."""
+    """All levels: the vocabulary, which shares have a file, tokens of a share, the end token's id."""
 
     vocabulary: Vocabulary
     shares: np.ndarray
@@ -226,6 +259,7 @@ class Model:
 
     def __post_init__(self) -> None:
         self._open: dict[int, Share] = {}
+        self._edges: dict[int, float] = {}
 
     def __getstate__(self):
         return self.vocabulary, self.shares, self.step
@@ -236,33 +270,57 @@ class Model:
 
     def share(self, k: int) -> Share | None:
         if k not in self._open:
-            self._open[k] = Share(common.mapped_file(pairs_file(self.vocabulary.folder, k))) if self.shares[k] else None
+            self._open[k] = Share(common.mapped_file(share_file(self.vocabulary.folder, k))) if self.shares[k] else None
         return self._open[k]
 
-    def log_probabilities(self, context: np.ndarray, before: np.ndarray, total: np.ndarray, word: np.ndarray, count: np.ndarray) -> np.ndarray:
-        """log10 of each word's probability after its context."""
-        out = np.log10(self.vocabulary.base(count))
-        known = np.flatnonzero((context >= 0) & (total > 0))
-        if not len(known):
-            return out
-        c, w, b, t = context[known], np.maximum(word[known], 0), before[known], total[known]
-        weight = np.zeros(len(known))
-        home = b // self.step
+    def edge(self, k: int) -> float:
+        """The back-off weight of the word whose successors start in share k and go on after it."""
+        if k not in self._edges:
+            self._edges[k] = float(np.frombuffer(common.read_file(edge_file(self.vocabulary.folder, k)), "<f8")[0])
+        return self._edges[k]
+
+    def weights(self, ids: np.ndarray, before: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Back-off weights of words as contexts; 1 for words that aren't known."""
+        out = np.ones(len(ids))
+        known = np.flatnonzero((ids >= 0) & (count > 0))
+        home = before[known] // self.step
+        wide = (before[known] + count[known] - 1) // self.step != home
+        for k, i in zip(home[wide].tolist(), known[wide].tolist(), strict=True):
+            out[i] = self.edge(k)
+        known, home = known[~wide], home[~wide]
         for k, part in _groups(home):
-            if (share := self.share(k)) is not None:
-                weight[part] = share.weight(c[part])
-        value = out[known] + weight
-        seen = np.flatnonzero(word[known] >= 0)
-        place = _share(b[seen], t[seen], w[seen], self.vocabulary.size, self.step)
-        for k, part in _groups(place):
-            if (share := self.share(k)) is not None:
-                own = seen[part]
-                found = share.probability(c[own], w[own])
-                hit = ~np.isnan(found)
-                value[own[hit]] = found[hit]
-        out[known] = value
+            out[known[part]] = self.share(k).weight(ids[known[part]])
         return out
 
+    def log_probabilities(self, t: _Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 of each token's base probability, of its probability after the two tokens before it)."""
+        n, base = len(t.kind), self.vocabulary.base(t.count)
+        before = t.previous()
+        pair = np.zeros(n)
+        weight = self.weights(t.ids, t.before, t.count)[before]
+        triple, pair_weight = np.zeros(n), np.ones(n)
+        # The pair that ends with a token is also the context of the next one; a text's first token follows two ends.
+        last = t.starts + t.sizes - 1
+        follows = np.append(np.arange(1, n), 0)
+        follows[last] = -1
+        context = np.concatenate((before, t.kind[last]))
+        word, follows = np.concatenate((t.kind, t.kind[last])), np.concatenate((follows, t.starts))
+        ok = np.flatnonzero((t.count[context] > 0) & (t.ids[word] >= 0))
+        c, w = t.ids[context[ok]], t.ids[word[ok]]
+        place = _share(t.before[context[ok]], t.count[context[ok]], w, self.vocabulary.size, self.step)
+        for k, part in _groups(place):
+            if (share := self.share(k)) is None:
+                continue
+            own, to = ok[part], follows[ok[part]]
+            after = np.where(to >= 0, t.ids[t.kind[np.maximum(to, 0)]], -1)
+            first, second, back, seen = share.look(c[part], w[part], after)
+            real = own < n
+            pair[own[real]] = first[real]
+            next_ = np.flatnonzero((to >= 0) & seen)
+            triple[to[next_]], pair_weight[to[next_]] = second[next_], back[next_]
+        own = base[t.kind]
+        return np.log10(own), np.log10(triple + pair_weight * (pair + weight * own))
+
 
 def _groups(place: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(place, kind="stable")
@@ -273,133 +331,194 @@ def _groups(place: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 class Share:
-    """A level-two file: header, code books, pointers, successors, codes of successors and of contexts."""
+    """A file of levels two and three: header, code books, pointers and successors of each level, codes of successors and
+    of contexts."""
 
     def __init__(self, data) -> None:
-        self.low, self.contexts, self.home, self.size = np.frombuffer(data, "<i8", 4).tolist()
-        books = np.frombuffer(data, "<f8", 2 * CODES, 32)
-        self.book, self.weights = books[:CODES], books[CODES:]
-        self.pointers = EliasFano(data, 32 + 16 * CODES)
+        self.low, self.contexts, self.size = np.frombuffer(data, "<i8", 3).tolist()
+        books = np.frombuffer(data, "<f8", 4 * CODES, 24).reshape(4, CODES)
+        self.book, self.weights, self.triple_book, self.pair_weights = books
+        self.pointers = EliasFano(data, 24 + 32 * CODES)
         self.successors = EliasFano(data, self.pointers.end)
-        at = self.successors.end
-        self.codes = np.frombuffer(data, np.uint8, self.successors.n, at)
-        self.context_codes = np.frombuffer(data, np.uint8, self.contexts, at + self.successors.n)
+        self.pair_pointers = EliasFano(data, self.successors.end)
+        self.thirds = EliasFano(data, self.pair_pointers.end)
+        at = self.thirds.end
+        sizes = (self.successors.n, self.contexts, self.thirds.n, self.successors.n)
+        self.codes, self.context_codes, self.third_codes, self.pair_codes = (np.frombuffer(data, np.uint8, n, at + sum(sizes[:i])) for i, n in enumerate(sizes))
 
     def weight(self, context: np.ndarray) -> np.ndarray:
-        """log10 back-off weights of contexts that start in this file."""
-        at = context - self.low
-        ok = (at >= 0) & (at < self.contexts)
-        out = np.zeros(len(context))
-        out[ok] = self.weights[self.context_codes[at[ok]]]
-        return out
-
-    def probability(self, context: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """log10 probabilities of the pairs that are here; NaN for others."""
-        out = np.full(len(context), np.nan)
+        """Back-off weights of words all of whose successors are in this file."""
+        return self.weights[self.context_codes[context - self.low]]
+
+    def look(self, context: np.ndarray, word: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of pairs and the words after them (-1 for none): discounted probability of the pair, of the triple, back-off
+        weight of the pair, and whether the pair is here."""
+        n = len(context)
+        first, second, back, seen = np.zeros(n), np.zeros(n), np.ones(n), np.zeros(n, dtype=bool)
         at = context - self.low
         ok = np.flatnonzero((at >= 0) & (at < self.contexts))
         start, stop = self.pointers.get(at[ok]).astype(np.int64), self.pointers.get(at[ok] + 1).astype(np.int64)
         # A context's successors follow those of the one before: its rank times the vocabulary, and the word.
         place = self.successors.find(at[ok].astype(np.uint64) * np.uint64(self.size) + word[ok].astype(np.uint64), start, stop)
-        hit = place >= 0
-        out[ok[hit]] = self.book[self.codes[place[hit]]]
-        return out
+        ok, place = ok[place >= 0], place[place >= 0]
+        first[ok], back[ok], seen[ok] = self.book[self.codes[place]], self.pair_weights[self.pair_codes[place]], True
+        more = np.flatnonzero(after[ok] >= 0)
+        ok, place = ok[more], place[more]
+        start, stop = self.pair_pointers.get(place).astype(np.int64), self.pair_pointers.get(place + 1).astype(np.int64)
+        third = self.thirds.find(place.astype(np.uint64) * np.uint64(self.size) + after[ok].astype(np.uint64), start, stop)
+        second[ok[third >= 0]] = self.triple_book[self.third_codes[third[third >= 0]]]
+        return first, second, back, seen
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(code book of CODES entries, code of each value): means of equally filled bins of the distinct values' range."""
-    if not len(values):
-        return np.zeros(CODES), np.empty(0, np.uint8)
-    edges = np.unique(np.quantile(values, np.linspace(0, 1, CODES + 1)[1:-1]))
-    codes = np.searchsorted(edges, values, side="left").astype(np.uint8)
-    sums, sizes = np.bincount(codes, weights=values, minlength=CODES), np.bincount(codes, minlength=CODES)
-    return np.where(sizes > 0, sums / np.maximum(sizes, 1), 0.0), codes
+    """(code book of CODES entries, code of each value): code 0 is zero, the others geometric means of bins of the positive
+    values. Half of the bins' edges part equal numbers of values, half lie at equal ratios, which bounds every error."""
+    book, codes = np.zeros(CODES), np.zeros(len(values), np.uint8)
+    some = np.flatnonzero(values > 0)
+    if len(some):
+        logs = np.log(values[some])
+        inner = np.linspace(0, 1, CODES // 2)[1:-1]
+        edges = np.unique(np.concatenate((np.quantile(logs, inner), logs.min() + inner * (logs.max() - logs.min()))))
+        codes[some] = np.searchsorted(edges, logs, side="left") + 1
+        sums, sizes = np.bincount(codes[some], weights=logs, minlength=CODES), np.bincount(codes[some], minlength=CODES)
+        book[sizes > 0] = np.exp(sums[sizes > 0] / sizes[sizes > 0])
+    return book, codes
+
+
+def _triples(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """(context, word, next word, times) in order, each once."""
+    context, word, after, times = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.lexsort((after, word, context))
+    context, word, after, times = context[order], word[order], after[order], times[order]
+    if not len(order):
+        return [context, word, after, times]
+    new = (context[1:] != context[:-1]) | (word[1:] != word[:-1]) | (after[1:] != after[:-1])
+    edge = np.flatnonzero(np.concatenate(([True], new)))
+    return [context[edge], word[edge], after[edge], np.add.reduceat(times, edge)]
+
+
+def share_bytes(v: Vocabulary, end: int, context: np.ndarray, word: np.ndarray, after: np.ndarray, times: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """(a share's file, its words as contexts with their tokens before and numbers of successors) of triples in order. An
+    after of v.size stands for none: it counts pairs that end a text."""
+    low, high = int(context[0]), int(context[-1]) + 1
+    new = np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1])))
+    edge, rank = np.flatnonzero(new), np.cumsum(new) - 1
+    third = np.flatnonzero(after < v.size)
+    followed = np.bincount(rank[third], weights=times[third], minlength=len(edge))
+    ends = np.bincount(rank, weights=times * (after == v.size), minlength=len(edge))
+    kinds = np.bincount(rank[third], minlength=len(edge))
+    pair_context, pair_word = context[edge], word[edge]
+    count = np.where(pair_word == end, ends, followed)  # two ends are a pair only where a text is empty
+    at = pair_context - low
+    total_before, total = v.counts(np.arange(low, high))
+    sizes = np.bincount(at, minlength=high - low)
+    real = np.bincount(at, weights=count > 0, minlength=high - low)
+    book, codes = quantised(np.maximum(count - DISCOUNT, 0) / np.maximum(total[at], 1))
+    weights, context_codes = quantised(DISCOUNT * real / np.maximum(total, 1))
+    triple_book, third_codes = quantised((times[third] - TRIPLE_DISCOUNT) / followed[rank[third]])
+    pair_weights, pair_codes = quantised(np.where(followed > 0, TRIPLE_DISCOUNT * kinds / np.maximum(followed, 1), 1.0))
+    size = np.uint64(v.size)
+    parts = [
+        np.array([low, high - low, v.size], dtype="<i8").tobytes(),
+        *(b.astype("<f8").tobytes() for b in (book, weights, triple_book, pair_weights)),
+        encode(np.concatenate(([0], np.cumsum(sizes)))),
+        encode(at.astype(np.uint64) * size + pair_word.astype(np.uint64)),
+        encode(np.concatenate(([0], np.cumsum(kinds)))),
+        encode(rank[third].astype(np.uint64) * size + after[third].astype(np.uint64)),
+        *(x.tobytes() for x in (codes, context_codes, third_codes, pair_codes)),
+    ]
+    return parts, np.arange(low, high), total_before, real
 
 
 def train(docs: DataFrame) -> Model:
-    """Counts the texts of docs (one column `text`) and builds both levels in the shared folder."""
+    """Counts the texts of docs (one column `text`) and builds all levels in the shared folder."""
     common.bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     folder = common.new_folder(spark, "language-model")
     vocabulary = count_tokens(docs, folder)
     n = ranges(docs, SHARE_BYTES)
     step = max(1, -(-vocabulary.total // n))
-    wide = vocabulary.size >= 1 << 32
-    kind = "<u8" if wide else "<u4"
+    # Columns of an entry: ids by their low and high halves, as sorted columns of few values pack well.
+    half = "<u4" if vocabulary.size >= (1 << 32) - 1 else "<u2"
+    bits, most = (32 if half == "<u4" else 16), 0xFFFF
+    kinds = [half] * 6 + ["<u2"]
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
 
         def give(parts: list) -> Iterator[pa.RecordBatch]:
-            place, context, word = (np.concatenate(x) for x in zip(*parts, strict=True))
-            order = np.lexsort((word, context))  # rises with place too
-            place, context, word = place[order], context[order], word[order]
-            edge = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1]))))
-            times = np.diff(np.append(edge, len(order)))
-            yield from _sent(place[edge], [context[edge].astype(kind), word[edge].astype(kind), times.astype("<u4")])
+            context, word, after, times = _triples([p[1:] for p in parts])
+            named = np.unique(np.concatenate([p[0] for p in parts], axis=1), axis=1)  # each context once: id, before, count
+            i = np.searchsorted(named[0], context)
+            place = _share(named[1][i], named[2][i], word, v.size, step)
+            over = times // (most + 1)  # a number that two bytes don't hold goes as several entries
+            if over.any():
+                again = np.repeat(np.arange(len(times)), over + 1)
+                first = np.concatenate(([True], again[1:] != again[:-1]))
+                context, word, after, place = context[again], word[again], after[again], place[again]
+                times = np.where(first, times[again] - most * over[again], most)
+            halves = [x for c in (context, word, after) for x in ((c >> bits).astype(half), (c & ((1 << bits) - 1)).astype(half))]
+            yield from _sent(place, [*halves, times.astype("<u2")])
 
         held, total = [], 0
         for _, _, _, texts in _batches(batches, 0):
-            context, before, count, word, _, _ = _pairs(v, texts)
-            held.append((_share(before, count, word, v.size, step), context, word))
-            total += len(word)
+            t = _Tokens.of(v, texts)
+            word = t.previous()
+            last = t.starts + t.sizes - 1
+            context = np.empty_like(word)
+            context[1:] = word[:-1]
+            context[t.starts] = t.kind[last]
+            # The last pair of a text has no word after it.
+            context, after = np.concatenate((context, word[last])), np.concatenate((t.ids[t.kind], np.full(len(last), v.size)))
+            word = np.concatenate((word, t.kind[last]))
+            held.append((np.stack((t.ids, t.before, t.count)), t.ids[context], t.ids[word], after, np.ones(len(after), np.int64)))
+            total += len(after)
             if total >= STRETCH:
                 yield from give(held)
                 held, total = [], 0
         if total:
             yield from give(held)
 
-    def merge(table: pa.Table) -> pa.Table:
-        place = table.column("place")[0].as_py()
-        context, word, times = _gathered(table, [kind, kind, "<u4"])
-        order = np.lexsort((word, context))
-        context, word, times = context[order], word[order], times[order].astype(np.int64)
-        edge = np.flatnonzero(np.concatenate(([True], (context[1:] != context[:-1]) | (word[1:] != word[:-1]))))
-        times, context, word = np.add.reduceat(times, edge), context[edge], word[edge]
-        names, sizes = np.unique(context, return_counts=True)
-        data = [context.astype(kind).tobytes(), word.astype(kind).tobytes(), times.astype("<u8").tobytes()]
-        ends = [int(names[0]), int(sizes[0]), int(names[-1]), int(sizes[-1])]
-        return pa.table({"place": pa.array([place], pa.int64()), "data": pa.array([b"".join(data)], pa.binary()), **{k: pa.array([x], pa.int64()) for k, x in zip(("first", "n_first", "last", "n_last"), ends, strict=True)}})
-
-    pairs = docs.select("text").mapInArrow(run, "place long, data binary").groupBy("place").applyInArrow(merge, "place long, data binary, first long, n_first long, last long, n_last long")
-    pairs = common.written(pairs, "pairs")
-    # Contexts at the shares' edges may have successors in several: their numbers are added up here, two for each share.
-    edges: dict[int, int] = {}
-    for r in pairs.select("first", "n_first", "last", "n_last").toLocalIterator():
-        edges[r.first] = edges.get(r.first, 0) + r.n_first
-        if r.last != r.first:
-            edges[r.last] = edges.get(r.last, 0) + r.n_last
-    known = spark.sparkContext.broadcast(edges)
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, more = shared.value, known.value
+    schema = "place long, context long, home long, total long, kinds long"
+
+    class Shared:
+        """Merges a share's triples and writes its file. Gives out the share, and words whose successors lie in several."""
+
+        def __init__(self, place: int) -> None:
+            self.place, self.kept = place, [np.empty(0, np.int64)] * 4
+
+        def add(self, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+            if blocks:
+                *ids, times = (x.astype(np.int64) for x in _columns(blocks, kinds))
+                self.kept = _triples([self.kept, [*(ids[i] << bits | ids[i + 1] for i in (0, 2, 4)), times]])
+            return iter(())
+
+        def done(self) -> Iterator[pa.RecordBatch]:
+            v = shared.value
+            end = int(v.look(np.array([END]))[0][0])
+            parts, words, before, real = share_bytes(v, end, *self.kept)
+            common.write_file(share_file(folder, self.place), iter(parts))
+            total = v.counts(words)[1]
+            wide = np.flatnonzero((before // step != (before + total - 1) // step) & (real > 0))
+            rows = [(self.place, -1, -1, -1, -1), *((self.place, int(words[i]), int(before[i] // step), int(total[i]), int(real[i])) for i in wide)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], [x.split()[0] for x in schema.split(", ")])
+
+    entries = docs.select("text").mapInArrow(run, "place long, data binary")
+    built = common.written(common.folded(entries, "place", Shared, schema), "share-files")
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                context, word, times = (x.astype(np.int64) for x in _gathered(pa.table({"data": pa.array([row["data"]], pa.binary())}), [kind, kind, "<u8"]))
-                low, high = int(context[0]), int(context[-1]) + 1
-                every = np.arange(low, high)
-                _, total = v.counts(every)
-                sizes = np.bincount(context - low, minlength=high - low)
-                kinds = sizes.copy()
-                for i in (0, -1):
-                    kinds[i] = more.get(int(every[i]), int(kinds[i]))
-                names, back = np.unique(word, return_inverse=True)
-                base = v.base(v.counts(names)[1])[back]
-                weight = DISCOUNT * kinds / np.maximum(total, 1)
-                at = context - low
-                chance = np.maximum(times - DISCOUNT, 0) / total[at] + weight[at] * base
-                book, codes = quantised(np.log10(chance))
-                weights, context_codes = quantised(np.log10(np.maximum(weight, 1e-30)))
-                pointers = np.concatenate(([0], np.cumsum(sizes)))
-                successors = at.astype(np.uint64) * np.uint64(v.size) + word.astype(np.uint64)
-                head = np.array([low, high - low, row["place"], v.size], dtype="<i8")
-                common.write_file(pairs_file(folder, row["place"]), iter((head.tobytes(), book.astype("<f8").tobytes(), weights.astype("<f8").tobytes(), encode(pointers), encode(successors), codes.tobytes(), context_codes.tobytes())))
-                yield pa.RecordBatch.from_arrays([pa.array([row["place"]], pa.int64())], ["place"])
-
-    built = common.written(pairs.select("place", "data").repartition(n, "place").mapInArrow(build, "place long"), "pair-files")
+            for r in batch.to_pylist():
+                weight = np.array([DISCOUNT * r["kinds"] / r["total"]], "<f8").tobytes()
+                common.write_file(edge_file(folder, r["home"]), iter((weight,)))
+            yield batch.select(["home"])
+
+    # A share holds the start of at most one word that goes on after it: one small file for each such share.
+    wide = built.filter("context >= 0").groupBy("context", "home", "total").agg(F.sum("kinds").alias("kinds"))
+    common.written(wide.mapInArrow(edges, "home long"), "edge-files")
     shares = np.zeros(n + 1, dtype=bool)
-    for r in built.toLocalIterator():
+    for r in built.filter("context < 0").select("place").toLocalIterator():
         shares[r.place] = True
     return Model(vocabulary, shares, step)
 
@@ -412,12 +531,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for batch, a, b, texts in _batches(batches, 1, 1 << 21):
-            context, before, total, word, count, sizes = _pairs(m.vocabulary, texts)
-            starts = np.cumsum(sizes) - sizes
-            base = np.add.reduceat(np.log10(m.vocabulary.base(count)), starts)
-            own = np.add.reduceat(m.log_probabilities(context, before, total, word, count), starts)
-            known = np.add.reduceat((count > 0).astype(np.int64), starts)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sizes.astype(np.int64)), pa.array(known), pa.array(base), pa.array(own)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            t = _Tokens.of(m.vocabulary, texts)
+            base, own = (np.add.reduceat(x, t.starts) for x in m.log_probabilities(t))
+            known = np.add.reduceat((t.count[t.kind] > 0).astype(np.int64), t.starts)
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(t.sizes.astype(np.int64)), pa.array(known), pa.array(base), pa.array(own)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 
