@@ -20,6 +20,7 @@ def default_path() -> str:
 
 #: A piece that splits into one word and its punctuation whatever the Unicode tables of a regex engine.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
+_MARKS = "".join(chr(b) for a, z in ((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)) for b in range(a, z + 1))
 #: A space that starts no piece: white space follows it, or another space stands before it, or the text ends.
 _ODD = re.compile(r" (?:\s|$)")
 
@@ -62,12 +63,12 @@ class Encoder:
     Such a tokenizer splits a text before every space that a non-space character follows, and encodes each piece by
     itself. So pieces are cut there first and only pieces that are new are handed to the library: natural text repeats
     most of them. Plain pieces (a word with punctuation, between line ends) go to the library's BPE model directly,
-    all others through its whole chain. The cache keeps two generations of at most `most` pieces each, none of them long,
-    which bounds its bytes. Exactness
-    against encoding whole texts is tested.
+    all others through its whole chain. The cache keeps two generations of at most `most` pieces each, none of
+    them long, which bounds its bytes. Exactness against encoding whole texts is
+    tested.
     """
 
-    def __init__(self, path: str | None = None, most: int = 250_000) -> None:
+    def __init__(self, path: str | None = None, most: int = 500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -87,6 +88,11 @@ class Encoder:
 
     def piece(self, prefix: str, piece: str) -> bytes:
         """The ids of prefix + piece, as the bytes of unsigned 32-bit integers."""
+        word = piece.rstrip(_MARKS)
+        if word.isascii() and word.isalpha():  # the most usual of the plain pieces, without a pattern
+            if len(word) == len(piece):
+                return self._model(prefix + piece)
+            return (self.later if prefix else self.first)[word] + self.first[piece[len(word) :]]
         if (m := _PLAIN.fullmatch(piece)) and piece:
             word, marks = m.groups()
             if not word or not marks:
