@@ -534,7 +534,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             t = _Tokens.of(m.vocabulary, texts)
             base, own = (np.add.reduceat(x, t.starts) for x in m.log_probabilities(t))
             known = np.add.reduceat((t.count[t.kind] > 0).astype(np.int64), t.starts)
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(t.sizes.astype(np.int64)), pa.array(known), pa.array(base), pa.array(own)], ["doc_id", "n_tokens", "n_known", "base_score", "score"])
+            columns = [batch.column(0).slice(a, b - a), pa.array(t.sizes.astype(np.int64)), pa.array(known), pa.array(base), pa.array(own)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, n_known long, base_score double, score double")
 

@@ -323,6 +323,8 @@ def without_repeats(docs: DataFrame, n: int = 20, period: int = 13, joined: bool
                         kept.append(b" ".join(b" ".join(whole[x:y].split()) for x, y in pieces))
                     else:
                         kept.append((text[: int(starts[0])] if len(starts) else text) + b"".join(text[x:y] for x, y in pieces))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["doc_id", "rid", "n_words", "n_removed", "kept"])
+                texts = pa.array(kept, pa.binary()).cast(pa.string())
+                columns = [part.column(0), part.column(1), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), texts]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "rid", "n_words", "n_removed", "kept"])
 
     return marked.mapInArrow(run, "doc_id long, rid long, n_words long, n_removed long, kept string")

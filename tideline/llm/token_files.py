@@ -221,10 +221,9 @@ def read_ids(segments: DataFrame) -> DataFrame:
                 data, code = ids.astype("<u4"), pa.binary()
                 for a in range(0, len(keys), 512):
                     b = min(a + 512, len(keys))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[a:b], pa.int64()), pa.array(starts[a:b] + row["first"]), pa.array(lengths[a:b].astype(np.int64)), pa.array([data[x:y].tobytes() for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)], code)],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
+                    own = [data[x:y].tobytes() for x, y in zip(starts[a:b].tolist(), ends[a:b].tolist(), strict=True)]
+                    columns = [pa.array(keys[a:b], pa.int64()), pa.array(starts[a:b] + row["first"]), pa.array(lengths[a:b].astype(np.int64))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(own, code)], ["doc_id", "start", "n_tokens", "ids"])
 
     size = segments.agg(F.sum("n_bytes").alias("n")).first().n or 0
     return listed.repartition(max(1, common.partitions(spark), size // READ_BYTES), "file", "at").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")

@@ -7,7 +7,7 @@ of cells are then merged in a tree, per query. The queries are a stated set, sea
 rows.
 
 Products of whole numbers are exact: in 32-bit floats where every sum stays under 2**24, in 64-bit floats under 2**53,
-and else in Python's integers (scores that a long can't hold are clipped to its range).
+and else in Python's integers (scores that a long can't hold are clipped to its range, components that a double can't hold after scaling to the greatest double).
 
 Defined cases: vectors that are null or hold a null or non-finite component take no part, nor do rows without an id;
 only vectors of equal length are compared; rows that repeat an id count once, with the best score, and never for a query
@@ -31,8 +31,20 @@ TILE = 512
 
 
 def scaled(x: np.ndarray, scale: int) -> np.ndarray:
-    """floor(scale * x) as whole-number doubles."""
-    return np.floor(scale * x.astype(np.float64))
+    """floor(scale * x) as whole-number doubles; finite ones that a double can't hold count as the greatest."""
+    with np.errstate(over="ignore"):
+        out = np.floor(scale * x.astype(np.float64))
+    most = np.finfo(np.float64).max
+    return np.where(np.isfinite(x), np.clip(out, -most, most), out)
+
+
+def packed(rows: np.ndarray) -> bytes:
+    """Whole numbers as 32-bit floats where these hold them, else as doubles."""
+    return rows.astype("<f4" if np.abs(rows).max(initial=0) <= 1 << 24 else "<f8").tobytes()
+
+
+def unpacked(data: bytes, n: int, dim: int) -> np.ndarray:
+    return np.frombuffer(data, "<f4" if len(data) == 4 * n * dim else "<f8").astype(np.float64).reshape(n, dim) if dim else np.zeros((n, 0))
 
 
 BLOCK_SCHEMA = "dim int, n long, most double, ids binary, data binary"
@@ -46,7 +58,7 @@ def _blocks(scale: int):
             parts = held.pop(dim)
             ids, rows = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
             most = float(np.abs(rows).max(initial=0))
-            values = [[dim], [len(ids)], [most], [ids.astype("<i8").tobytes()], [rows.astype("<f8").tobytes()]]
+            values = [[dim], [len(ids)], [most], [ids.astype("<i8").tobytes()], [packed(rows)]]
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(values, (pa.int32(), pa.int64(), pa.float64(), pa.binary(), pa.binary()), strict=True)], ["dim", "n", "most", "ids", "data"])
 
         for batch in batches:
@@ -101,7 +113,8 @@ def _cell(k: int):
     def run(key, queries: pa.Table, candidates: pa.Table) -> pa.Table:
         def whole(rows: list[dict]) -> tuple[np.ndarray, np.ndarray, float]:
             dim = key[0].as_py()
-            return np.concatenate([np.frombuffer(r["ids"], "<i8") for r in rows]), np.concatenate([np.frombuffer(r["data"], "<f8").reshape(-1, dim) if dim else np.zeros((r["n"], 0)) for r in rows]), max(r["most"] for r in rows)
+            ids = np.concatenate([np.frombuffer(r["ids"], "<i8") for r in rows])
+            return ids, np.concatenate([unpacked(r["data"], r["n"], dim) for r in rows]), max(r["most"] for r in rows)
 
         out: list[tuple] = []
         if len(queries) and len(candidates):
