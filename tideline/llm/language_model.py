@@ -306,18 +306,34 @@ class Model:
         context = np.concatenate((before, t.kind[last]))
         word, follows = np.concatenate((t.kind, t.kind[last])), np.concatenate((follows, t.starts))
         ok = np.flatnonzero((t.count[context] > 0) & (t.ids[word] >= 0))
-        c, w = t.ids[context[ok]], t.ids[word[ok]]
-        place = _share(t.before[context[ok]], t.count[context[ok]], w, self.vocabulary.size, self.step)
-        for k, part in _groups(place):
-            if (share := self.share(k)) is None:
-                continue
-            own, to = ok[part], follows[ok[part]]
-            after = np.where(to >= 0, t.ids[t.kind[np.maximum(to, 0)]], -1)
-            first, second, back, seen = share.look(c[part], w[part], after)
-            real = own < n
-            pair[own[real]] = first[real]
-            next_ = np.flatnonzero((to >= 0) & seen)
-            triple[to[next_]], pair_weight[to[next_]] = second[next_], back[next_]
+        # Pairs that repeat are looked up once, in order, so those of a share lie together.
+        names = len(t.ids)
+        pairs, which = np.unique(t.ids[context[ok]].astype(np.uint64) * np.uint64(self.vocabulary.size) + t.ids[word[ok]].astype(np.uint64), return_inverse=True)
+        one = np.empty(len(pairs), dtype=np.int64)
+        one[which] = ok
+        c, w = t.ids[context[one]], t.ids[word[one]]
+        place = _share(t.before[context[one]], t.count[context[one]], w, self.vocabulary.size, self.step)
+        to = follows[ok]
+        more = np.flatnonzero(to >= 0)
+        after = t.kind[to[more]]
+        more, after = more[t.ids[after] >= 0], after[t.ids[after] >= 0]
+        # Words in the order of their ids, so that pairs with a word after them are in the order of the file too.
+        order = np.argsort(t.ids, kind="stable")
+        rank = np.empty(names, dtype=np.int64)
+        rank[order] = np.arange(names)
+        triples, which3 = np.unique(which[more] * names + rank[after], return_inverse=True)
+        of_pair, last_word = triples // max(names, 1), t.ids[order[triples % max(names, 1)]] if names else triples
+        first, back, seen, second = np.zeros(len(pairs)), np.ones(len(pairs)), np.zeros(len(pairs), dtype=bool), np.zeros(len(triples))
+        edges = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)]
+        for x, y in zip(edges, edges[1:], strict=False):
+            if y > x and (share := self.share(int(place[x]))) is not None:
+                p, q = np.searchsorted(of_pair, (x, y))
+                first[x:y], back[x:y], seen[x:y], second[p:q] = share.look(c[x:y], w[x:y], of_pair[p:q] - x, last_word[p:q])
+        real = ok < n
+        pair[ok[real]] = first[which[real]]
+        next_ = np.flatnonzero((to >= 0) & seen[which])
+        pair_weight[to[next_]] = back[which[next_]]
+        triple[to[more]] = second[which3]
         own = base[t.kind]
         return np.log10(own), np.log10(triple + pair_weight * (pair + weight * own))
 
@@ -350,24 +366,27 @@ class Share:
         """Back-off weights of words all of whose successors are in this file."""
         return self.weights[self.context_codes[context - self.low]]
 
-    def look(self, context: np.ndarray, word: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Of pairs and the words after them (-1 for none): discounted probability of the pair, of the triple, back-off
-        weight of the pair, and whether the pair is here."""
+    def look(self, context: np.ndarray, word: np.ndarray, of_pair: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of pairs (in order, each once): discounted probability, back-off weight, whether the pair is here; and of the
+        words `after` pairs (by place in these, rising): the triple's discounted probability."""
         n = len(context)
-        first, second, back, seen = np.zeros(n), np.zeros(n), np.ones(n), np.zeros(n, dtype=bool)
+        first, back, seen, second = np.zeros(n), np.ones(n), np.zeros(n, dtype=bool), np.zeros(len(after))
         at = context - self.low
         ok = np.flatnonzero((at >= 0) & (at < self.contexts))
-        start, stop = self.pointers.get(at[ok]).astype(np.int64), self.pointers.get(at[ok] + 1).astype(np.int64)
+        at, spread = np.unique(at[ok], return_inverse=True)
+        start, stop = self.pointers.get(at).astype(np.int64)[spread], self.pointers.get(at + 1).astype(np.int64)[spread]
         # A context's successors follow those of the one before: its rank times the vocabulary, and the word.
-        place = self.successors.find(at[ok].astype(np.uint64) * np.uint64(self.size) + word[ok].astype(np.uint64), start, stop)
+        place = self.successors.find(at[spread].astype(np.uint64) * np.uint64(self.size) + word[ok].astype(np.uint64), start, stop)
         ok, place = ok[place >= 0], place[place >= 0]
         first[ok], back[ok], seen[ok] = self.book[self.codes[place]], self.pair_weights[self.pair_codes[place]], True
-        more = np.flatnonzero(after[ok] >= 0)
-        ok, place = ok[more], place[more]
-        start, stop = self.pair_pointers.get(place).astype(np.int64), self.pair_pointers.get(place + 1).astype(np.int64)
-        third = self.thirds.find(place.astype(np.uint64) * np.uint64(self.size) + after[ok].astype(np.uint64), start, stop)
-        second[ok[third >= 0]] = self.triple_book[self.third_codes[third[third >= 0]]]
-        return first, second, back, seen
+        if len(after):
+            start, stop, rank = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
+            start[ok], stop[ok], rank[ok] = self.pair_pointers.get(place), self.pair_pointers.get(place + 1), place
+            wanted = np.flatnonzero(stop[of_pair] > start[of_pair])
+            own = of_pair[wanted]
+            third = self.thirds.find(rank[own].astype(np.uint64) * np.uint64(self.size) + after[wanted].astype(np.uint64), start[own], stop[own])
+            second[wanted[third >= 0]] = self.triple_book[self.third_codes[third[third >= 0]]]
+        return first, back, seen, second
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -388,7 +407,8 @@ def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _triples(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
     """(context, word, next word, times) in order, each once."""
     context, word, after, times = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.lexsort((after, word, context))
+    wide = int(max(context.max(initial=0), word.max(initial=0))) >> 32
+    order = np.lexsort((after, word, context) if wide else (after, context << 32 | word))
     context, word, after, times = context[order], word[order], after[order], times[order]
     if not len(order):
         return [context, word, after, times]
@@ -505,7 +525,7 @@ def train(docs: DataFrame) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], [x.split()[0] for x in schema.split(", ")])
 
     entries = docs.select("text").mapInArrow(run, "place long, data binary")
-    built = common.written(common.folded(entries, "place", Shared, schema), "share-files")
+    built = common.written(common.folded(entries, "place", Shared, schema, 32 << 20), "share-files")
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -530,7 +550,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch, a, b, texts in _batches(batches, 1, 1 << 21):
+        for batch, a, b, texts in _batches(batches, 1, 1 << 22):
             t = _Tokens.of(m.vocabulary, texts)
             base, own = (np.add.reduceat(x, t.starts) for x in m.log_probabilities(t))
             known = np.add.reduceat((t.count[t.kind] > 0).astype(np.int64), t.starts)
