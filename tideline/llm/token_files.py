@@ -38,6 +38,17 @@ SEGMENT = 1 << 19
 FILE_BYTES, READ_BYTES = 128 << 20, 64 << 20
 
 
+def widths(ids: np.ndarray) -> np.ndarray:
+    """Bits of each id, up to 60 for what takes no more."""
+    if int(ids.max(initial=0)) < 1 << 53:  # a double's exponent is the number of bits
+        exponent = ids.astype(np.float64).view(np.uint64) >> np.uint64(52)
+        return np.where(ids > 0, exponent.astype(np.int64) - 1022, 0).astype(np.uint8)
+    out = np.zeros(len(ids), dtype=np.uint8)
+    for k in range(1, 61):
+        out[ids >= np.uint64(1 << (k - 1))] = k
+    return out
+
+
 def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, the blocks' first words, escaped ids) of unsigned ids."""
     ids = ids.astype(np.uint64)
@@ -49,11 +60,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat[:n] = ids
     grid[:, :BLOCK] = flat.reshape(blocks, BLOCK)
     bits = np.zeros((blocks, BLOCK + 64), dtype=np.uint8)
-    for k in range(1, 61):
-        above = grid >= np.uint64(1 << (k - 1))
-        if not above.any():
-            break
-        bits[above] = k
+    bits[:, :BLOCK] = widths(flat).reshape(blocks, BLOCK)
     if len(escaped):
         bits[:, :BLOCK] = np.where(_padded(wide, len(flat)).reshape(blocks, BLOCK), 61, bits[:, :BLOCK])
     # The largest width in the next 1, 2, 4 ... ids, and from these in the next `count` ids.
@@ -67,7 +74,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         k = count.bit_length() - 1
         shift = count - 2**k
         reach = np.maximum(most[k][:, :BLOCK], most[k][:, shift : shift + BLOCK])
-        choice[reach <= width] = selector
+        choice = np.where(reach <= width, np.uint8(selector), choice)
     counts = np.array([c for c, _ in SELECTORS] + [0, 1])
     length = np.full(blocks, BLOCK)
     if blocks:
@@ -82,7 +89,7 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if not rows:
         return np.empty(0, np.uint64), np.empty(0, np.uint64), escaped
     row, place = np.concatenate(rows), np.concatenate(places)
-    order = np.lexsort((place, row))
+    order = np.argsort(row.astype(np.uint16) if blocks < 1 << 16 else row, kind="stable")  # places rise already
     row, place = row[order], place[order]
     picked = choice[row, place]
     words = picked.astype(np.uint64) << np.uint64(60)

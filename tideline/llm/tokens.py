@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 from array import array
 
 import numpy as np
@@ -20,6 +21,7 @@ def default_path() -> str:
 
 #: A piece that splits into one word and its punctuation whatever the Unicode tables of a regex engine.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-/:-@\[-`{-~]*)")
+_PACK = [struct.Struct(f"={n}I").pack for n in range(16)]
 _MARKS = "".join(chr(b) for a, z in ((0x21, 0x2F), (0x3A, 0x40), (0x5B, 0x60), (0x7B, 0x7E)) for b in range(a, z + 1))
 #: A space that starts no piece: white space follows it, or another space stands before it, or the text ends.
 _ODD = re.compile(r" (?:\s|$)")
@@ -84,7 +86,8 @@ class Encoder:
             part = self.table[0x20] + part[1:]
         elif part == "\n":
             part = self.table[0x0A]
-        return array("I", [t.id for t in self.model.tokenize(part)]).tobytes()
+        ids = [t.id for t in self.model.tokenize(part)]
+        return _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else array("I", ids).tobytes()
 
     def piece(self, prefix: str, piece: str) -> bytes:
         """The ids of prefix + piece, as the bytes of unsigned 32-bit integers."""
