@@ -41,20 +41,20 @@ def feature(spark, name, values, kind=None):
 @pytest.mark.parametrize(
     "name,cases",
     [
-        ("legal_status_raw", {"nha da co so do sang ten ngay": "da co so", "khong": None}),
-        ("has_red_pink_book", {"nha da co so do sang ten ngay": True, "nha": False}),
-        ("floor_count", {"nha 1 tret 3 lau dep": 4, "nha 5 tang": 5, "99 tang": None, "3t": 3}),
-        ("seller_type", {"chinh chu ban nha mien moi gioi": "owner", "moi gioi": "broker", "x": None}),
-        ("furniture_level", {"Nội thất cao cấp": "full", "ban giao tho": "raw", "dieu hoa": "mentioned"}),
-        ("frontage_width", {"dien tich 50 m2": None, "mat tien 4,5 m": 4.5, "5m ngang": 5.0, "mat tien 500 m": None}),
-        ("bathroom_count", {"3 wc": 3, "wc: 2": 2, "40 wc": None}),
-        ("bedroom_count", {"3 phòng ngủ": 3, "3n2wc": 3, "so phong ngu: 4": 4}),
-        ("direction", {"nam tu liem": None, "nha huong dong nam": "dong_nam", "huong tb": "tay_bac"}),
-        ("is_price_negotiable", {"gia net khong co thuong luong": False, "gia tot co thuong luong": True, "khong a b thuong luong": False, "khong a b c thuong luong": True, "khong thuong luong, gia chao": True}),
-        ("car_access_type", {"ngo o to tranh, nha dep": "car_can_pass", "gara, oto vao": "car_can_park", "x": None}),
-        ("project_name", {"Dự án Vinhomes Ocean Park, Gia Lâm": "Vinhomes Ocean Park", "x": None}),
-        ("building_name", {"Tòa S2.01 đẹp, view hồ": "S2.01 đẹp", "x": None}),
-        ("has_urban_area_flag", {"Khu đô thị": True, "x": False}),
+        ("legal_status_raw", {"gan cho, giay tay tu 2010": "giay tay", "moi co vi bang": "vi bang", "gio mat": None}),
+        ("has_red_pink_book", {"so hong trong tay": True, "giay tay": False, "cay xanh": False}),
+        ("floor_count", {"xay 2 tret 5 lau moi": 6, "ket cau 7 lau": 7, "60 tang": None, "cao 4t": 4}),
+        ("seller_type", {"chu gui gap": "owner", "van phong nha dat an": "broker", "gan song": None}),
+        ("furniture_level", {"Đầy đủ nội thất": "full", "do co ban": "basic", "nha tho 2 mat": "raw", "co tu lanh": "mentioned"}),
+        ("frontage_width", {"rong 60 m2": None, "chieu ngang 6,5 m": 6.5, "7m mat tien": 7.0, "nong 300 m": None}),
+        ("bathroom_count", {"2 toilet": 2, "so phong tam: 4": 4, "35 vs": None}),
+        ("bedroom_count", {"5 phòng ngủ": 5, "2n1k": 2, "so phong ngu: 6": 6}),
+        ("direction", {"gan bac ninh": None, "dat huong tay nam": "tay_nam", "huong db": "dong_bac"}),
+        ("is_price_negotiable", {"chua tung thoa thuan": False, "bot loc cho nguoi mua": True, "khong phai la gia chao": False, "khong can voi vang thuong luong": True, "chua co tl, nhung bot loc": True}),
+        ("car_access_type", {"duong oto rong": "car_can_pass", "bai do xe, xe hoi vao": "car_can_park", "di bo": None}),
+        ("project_name", {"Chung cư Hoa Lan, tầng 5": "Hoa Lan", "x": None}),
+        ("building_name", {"Block B7 thoáng, gần hồ": "B7 thoáng", "x": None}),
+        ("has_urban_area_flag", {"Gần garden lớn": True, "x": False}),
     ],
 )
 def test_features(spark, name, cases):
@@ -62,8 +62,8 @@ def test_features(spark, name, cases):
 
 
 def test_features_skipped_and_blank(spark):
-    words = "4 tang mat tien 5m o to vao nha 3 phong ngu"
-    assert [feature(spark, n, [words], "apartment")[0] for n in ("floor_count", "frontage_width", "has_car_access", "bedroom_count")] == [None, None, None, 3]
+    words = "6 lau chieu ngang 4m xe hoi vao 2 phong ngu"
+    assert [feature(spark, n, [words], "apartment")[0] for n in ("floor_count", "frontage_width", "has_car_access", "bedroom_count")] == [None, None, None, 2]
     assert [feature(spark, n, [words], "land")[0] for n in ("floor_count", "bedroom_count", "has_car_access")] == [None, None, True]
     assert feature(spark, "has_legal_info", [None, " "]) == [None, None]
     row = features.with_features(spark.createDataFrame([(" ", 2)], "title_raw string, bathroom_count int"), ("title_raw",)).first()

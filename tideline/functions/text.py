@@ -97,7 +97,20 @@ def in_brackets_old(x: Column) -> Column:
 
 def page_url(url: Column, page: Column) -> Column:
     """A list URL for a page: the last `page=` is replaced, else the path gets /pN; page 1 is the URL itself."""
-    return F.when(page <= 1, url).when(url.rlike("page=[0-9]+"), F.regexp_replace(url, "page=[0-9]+(?!.*page=)", F.concat(F.lit("page="), page.cast("string")))).otherwise(F.concat(F.regexp_replace(url, "/+$", ""), F.lit("/p"), page.cast("string")))
+    last = F.regexp_replace(url, "page=[0-9]+(?!.*page=)", F.concat(F.lit("page="), page.cast("string")))
+    path = F.concat(F.regexp_replace(url, "/+$", ""), F.lit("/p"), page.cast("string"))
+    return F.when(page <= 1, url).when(url.rlike("page=[0-9]+"), last).otherwise(path)
+
+
+def seed_url(site: Column, category: Column, place: Column, page: Column | None = None) -> Column:
+    """The list URL of a category in a place (`site/category-place`; without a place `site/category`), for a page."""
+    base = F.concat(F.regexp_replace(site, "/+$", ""), F.lit("/"), category, F.when(F.coalesce(place, F.lit("")) != "", F.concat(F.lit("-"), place)).otherwise(""))
+    return base if page is None else page_url(base, page)
+
+
+def file_slug(x: Column) -> Column:
+    """A name for a file: lower-case ASCII letters and digits with underscores between."""
+    return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), "[^a-z0-9]+", "_"), "^_+|_+$", "")
 
 
 def percent(x: Column) -> Column:

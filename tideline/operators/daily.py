@@ -1,7 +1,7 @@
 """From captures to days: keys, duplicates, one row a day, lifecycles, changes and removals.
 
-Rows are exchanged by dedup_key once: windows over days and keys, over keys, and latest rows all find their rows
-together, as a key's rows of a day are among the key's rows. Rows that nothing identifies are spread by row.
+Rows are exchanged by dedup_key once (`duplicate_flags` asks for it): windows over days and keys, over keys, and latest
+rows all find their rows together, as a key's rows of a day are among the key's rows.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ def keyed(listings: DataFrame) -> DataFrame:
 
 def duplicate_flags(df: DataFrame) -> DataFrame:
     """duplicate_group_size (rows of the same day and key; null without a day) and is_duplicate_in_snapshot."""
+    df = df.repartition("dedup_key")  # the one exchange: all later windows are by dedup_key, or by it and the day
     n = F.when(F.col("crawl_date").isNotNull(), F.count("*").over(Window.partitionBy("crawl_date", "dedup_key")))
     return df.withColumn("duplicate_group_size", n).withColumn("is_duplicate_in_snapshot", F.col("duplicate_group_size") > 1)
 
@@ -77,15 +78,16 @@ def info_changes(snap: DataFrame, fields: tuple[str, ...] = TRACKED) -> DataFram
     return out.withColumn("changed_fields", names).withColumn("is_info_changed", F.col("changed_fields") != "")
 
 
-def removed(daily: DataFrame, per_source: bool = False) -> DataFrame:
+def removed(daily: DataFrame, per_source: bool = False, captures: DataFrame | None = None) -> DataFrame:
     """Keys seen on a day but not on the next day that has any rows (with per_source, any of the same source): rows of
-    daily with that next day as snapshot_date, last_seen_before_removed, status `removed`.
+    daily with that next day as snapshot_date, last_seen_before_removed, status `removed`. captures: a table with the same
+    days (what daily was made of), so that finding them reads only its day column and not all that daily takes.
 
     Days are few beside rows; their successors come from a window over distinct days, and the join is left to the
     optimiser, which broadcasts them while they are small. A key's own next day is a lag window, so no second exchange.
     """
     by = ["source"] if per_source else []
-    days = daily.filter("crawl_date is not null").select(*by, "crawl_date").distinct()
+    days = (daily if captures is None else captures).filter("crawl_date is not null").select(*by, "crawl_date").distinct()
     order = Window.partitionBy(*by).orderBy("crawl_date")
     days = days.withColumn("snapshot_date", F.lead("crawl_date").over(order)).filter("snapshot_date is not null")
     own = F.lead("crawl_date").over(Window.partitionBy("dedup_key").orderBy("crawl_date"))

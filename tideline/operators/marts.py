@@ -103,7 +103,8 @@ def explored(df: DataFrame, among: dict[str, list] | None = None, negotiable: bo
 
 def duplicate_summary(flagged: DataFrame) -> DataFrame:
     """Of each day: rows, groups of duplicates, and rows in them."""
-    return flagged.groupBy("crawl_date").agg(F.count("*").alias("rows"), F.count_if("is_duplicate_in_snapshot").alias("duplicate_rows"), F.count_distinct(F.when(F.col("is_duplicate_in_snapshot"), F.col("dedup_key"))).alias("duplicate_groups"))
+    groups = F.count_distinct(F.when(F.col("is_duplicate_in_snapshot"), F.col("dedup_key"))).alias("duplicate_groups")
+    return flagged.groupBy("crawl_date").agg(F.count("*").alias("rows"), F.count_if("is_duplicate_in_snapshot").alias("duplicate_rows"), groups)
 
 
 def top_districts(market: DataFrame, k: int = 20) -> DataFrame:

@@ -81,7 +81,14 @@ def flag_summary(silver: DataFrame, inputs: int) -> DataFrame:
 
 def scorecard(runs: DataFrame) -> DataFrame:
     """Metrics of a run under the first of their names that it has, with quarantine and block rates."""
-    names = {"total_records": ("total_records", "total_silver_records"), "parse_success_rate": ("parse_success_rate",), "duplicate_rate": ("duplicate_rate", "duplicate_record_rate"), "quarantine_count": ("quarantine_count", "quarantined"), "blocked": ("blocked", "blocked_count"), "requests": ("requests", "total_requests")}
+    names = {
+        "total_records": ("total_records", "total_silver_records"),
+        "parse_success_rate": ("parse_success_rate",),
+        "duplicate_rate": ("duplicate_rate", "duplicate_record_rate"),
+        "quarantine_count": ("quarantine_count", "quarantined"),
+        "blocked": ("blocked", "blocked_count"),
+        "requests": ("requests", "total_requests"),
+    }
     picked = {n: F.coalesce(*(F.col(c) for c in cs if c in runs.columns), F.lit(None).cast("double")) for n, cs in names.items()}
     out = runs.select(*(c for c in runs.columns if c not in picked), *(v.cast("double").alias(n) for n, v in picked.items()))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))

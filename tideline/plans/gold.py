@@ -46,7 +46,7 @@ class Run:
 
     @cached_property
     def removed_listings(self) -> DataFrame:
-        return d.removed(self.daily)
+        return d.removed(self.daily, captures=self.keyed)
 
     @cached_property
     def market_by_district(self) -> DataFrame:

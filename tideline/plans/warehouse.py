@@ -168,7 +168,8 @@ def fact_quality(quality: DataFrame) -> DataFrame:
     rates = ("parse_success_rate", "duplicate_rate", "missing_price_rate", "missing_area_rate", "missing_location_rate")
     have = lambda c, zero: (F.coalesce(F.col(c), zero) if c in quality.columns else zero).alias(c)
     out = quality.select(
-        date_key(F.col("crawl_date")).alias("date_key"), source_key(plain(F.col("source"))).alias("source_key"), *(have(c, F.lit(0).cast("bigint")) for c in counts), *(have(c, F.lit(0.0)) for c in rates), have("publish_blocked_flag", F.lit(False)), F.col("source").alias("k"),
+        date_key(F.col("crawl_date")).alias("date_key"), source_key(plain(F.col("source"))).alias("source_key"),
+        *(have(c, F.lit(0).cast("bigint")) for c in counts), *(have(c, F.lit(0.0)) for c in rates), have("publish_blocked_flag", F.lit(False)), F.col("source").alias("k"),
     )
     place = F.row_number().over(Window.partitionBy("date_key", "source_key").orderBy("k"))
     return out.withColumn("__place", place).filter("__place = 1").drop("__place", "k")

@@ -283,7 +283,8 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def removed_per_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.removed(_gold("daily")(spark, sf_dir), per_source=True).select("dedup_key", "snapshot_date", "last_seen_before_removed")
+    run = gold.Run(listings_from_events(spark, sf_dir), "event_id")
+    return d.removed(run["daily"], per_source=True, captures=run.keyed).select("dedup_key", "snapshot_date", "last_seen_before_removed")
 
 
 QUERIES: dict[str, Query] = {
