@@ -214,11 +214,10 @@ def test_very_long_text(spark):
     items = [[f"i{k}w{rng.randrange(400)}" for _ in range(40)] for k in range(12)]
     words = [f"v{rng.randrange(5000)}" for _ in range(300_000)]
     step = 96_000 - dc.BLOCK
-    places = [0, 15, step - 41, step - 20, step - 3, step + 5, 2 * step - 30, 2 * step, 200_000, 299_000]
+    places = [0, step - 41, step + 5, 2 * step - 20, 3 * step - 3, 150_000, 200_000, 299_000]
     for k, at in enumerate(places):
         words[at : at + 40] = items[k]
     df = spark.createDataFrame([(1, " ".join(words)), (2, "x" * 2_000_000)], "doc_id long, text string")
     table = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
-    clear = {k: at for k, at in enumerate(places) if not any(0 < abs(at - b) < 40 for b in places)}
     got = {r.item_id: (r.start, r.share) for r in dc.leaks(df, table).collect()}
-    assert clear.items() <= {(k, s) for k, (s, x) in got.items() if x == 1.0} and not {10, 11} & set(got) and len(clear) >= 5
+    assert got == {k: (at, 1.0) for k, at in enumerate(places)}
